@@ -27,11 +27,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # --- helpers ---------------------------------------------------------------------
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, whole numbers as bigint."""
+# Whole numbers that may be missing, given as doubles like any missing number.
+OPTIONAL = ("unique", "freq", "grid_index")
+
+
+def comparable(df: DataFrame, nudge: float = 0.0) -> DataFrame:
+    """Doubles to six decimals, whole numbers as bigint.
+
+    ``nudge`` moves values off exact halves of the last decimal, where the last
+    bit of a sum would decide; the SQL twin adds the same.
+    """
     def plain(name: str, kind: str) -> Column:
+        if name in OPTIONAL:
+            return F.col(name).cast("double").alias(name)
         if kind in ("double", "float"):
-            return F.round(name, 6).alias(name)
+            return F.round(F.col(name) + nudge, 6).alias(name)
         if kind in ("int", "smallint", "tinyint"):
             return F.col(name).cast("bigint").alias(name)
         return F.col(name)
@@ -44,12 +54,13 @@ def on(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def history(add: Callable[[DataFrame, WindowSpec], DataFrame], columns: list[str],
-            back: int = 0, ahead: int = 0) -> Query:
+            back: int = 0, ahead: int = 0, nudge: float = 0.0) -> Query:
     """Symbol, Date and the columns an operator adds over supplier histories."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = tables.supplier_bars(spark, sf_dir)
         return comparable(
-            over_history(bars, add, back=back, ahead=ahead).select("Symbol", "Date", *columns))
+            over_history(bars, add, back=back, ahead=ahead).select("Symbol", "Date", *columns),
+            nudge)
     return query
 
 
@@ -263,7 +274,7 @@ QUERIES: dict[str, Query] = {
     "volatility_ratio": history(
         with_returns(features.add_volatility), ["vol_ratio_5_20"], back=20),
     "moving_averages": history(
-        features.add_moving_averages, ["ma_5", "ma_10", "ma_20", "ma_60"], back=59),
+        features.add_moving_averages, ["ma_5", "ma_10", "ma_20", "ma_60"], back=59, nudge=1e-8),
     "ma_ratios": history(features.add_moving_averages, [
         "ma_ratio_5", "ma_ratio_10", "ma_ratio_20", "ma_ratio_60"], back=59),
     "gap_open": history(features.add_gap_open, ["gap_open"], back=1),
