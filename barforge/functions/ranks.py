@@ -9,71 +9,78 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BINS = 1 << 16
-# Values are binned on a signed logarithmic scale, which keeps order and gives
-# both returns near zero and prices with far outliers fine bins.
+# Bins are even on a signed logarithmic scale, about a thousandth of the value
+# wide and finer near zero. Doubles of any size fall in some 85,000 bins up to
+# 1e12 and in 1.5 million at the most.
 SCALE = 1e6
+BINS_PER_UNIT = 1024
+LAST_UNIT = 730  # beyond the largest double
 
 
-def value_bin(value: Column, low: Column, high: Column) -> Column:
+def value_bin(value: Column) -> Column:
     """Number of the bin of ``value``; never decreases as the value grows."""
-    def position(x: Column) -> Column:
-        return F.signum(x) * F.log1p(F.abs(x) * SCALE)
+    size = F.least(F.log1p(F.abs(value) * SCALE), F.lit(float(LAST_UNIT)))
+    return F.floor(F.signum(value) * size * BINS_PER_UNIT).cast("int")
 
-    width = position(high) - position(low)
-    share = F.when(width > 0, (position(value) - position(low)) / width).otherwise(0.0)
-    return F.floor(share * (BINS - 1)).cast("int")
+
+def _tally(values: DataFrame, keys: Sequence[str], counts: dict[str, Column]) -> DataFrame:
+    """One row per distinct value: equal ones combine before the shuffle."""
+    return values.groupBy(*keys, "bin", "value").agg(*(
+        c.alias(name) for name, c in counts.items()))
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+    by: Sequence[str] = (), costly: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows (*by, column, probability, value).
 
     NULL and NaN are left out. ``by`` must be columns with few values, such as
-    the split: bin counts are kept per group.
+    the split: bin counts are kept per group. The rows are read twice and only
+    counts and the wanted bins are shuffled; ``costly`` says that computing
+    ``df`` again costs more than shuffling the distinct values of ``columns``.
     """
     keys = [*by, "column"]
     values = (
         df.select(*by, *(F.col(c).cast("double").alias(c) for c in columns))
         .unpivot(list(by), list(columns), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .withColumn("bin", value_bin(F.col("value")))
+        .dropna(subset=[*by, "bin"])
     )
-    # One row per group and column.
-    bounds = values.groupBy(*keys).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"),
-        F.count("value").alias("n"),
-    )
-    binned = values.join(F.broadcast(bounds), keys).withColumn(
-        "bin", value_bin(F.col("value"), F.col("low"), F.col("high")))
+    if costly:
+        values = _tally(values, keys, {"same": F.count(F.lit(1))})
+    else:
+        values = values.withColumn("same", F.lit(1).cast("bigint"))
 
-    # At most BINS rows per group and column.
-    running = Window.partitionBy(*keys).orderBy("bin")
+    # A bounded number of bins per group and column, and one total each.
+    in_order = Window.partitionBy(*keys).orderBy("bin")
     bins = (
-        binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("before", F.sum("rows").over(running) - F.col("rows"))
+        values.groupBy(*keys, "bin").agg(F.sum("same").alias("rows"))
+        .withColumn("before", F.sum("rows").over(in_order) - F.col("rows"))
+        .withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
     )
-    # Two ranks per group, column and probability.
+    # The one or two ranks of each probability, in the bins that hold them.
     exact = F.col("probability") * (F.col("n") - 1)
-    ranks = (
-        bounds.withColumn(
+    held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
+    wanted = (
+        bins.withColumn(
             "probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities))))
-        .withColumn("weight", exact - F.floor(exact))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(exact), F.ceil(exact)))))
-        .withColumn("upper", F.col("rank") > exact)
-        .select(*keys, "probability", "weight", "rank", "upper")
+        .where(held)
+        .select(*keys, "bin", "before", "probability", "rank",
+                (F.col("rank") > exact).alias("upper"), (exact - F.floor(exact)).alias("weight"))
     )
-    wanted = ranks.join(bins, keys).where(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
-
+    # Both broadcasts: at most two rows per group, column and probability.
+    spots = F.broadcast(wanted.select(*keys, "bin", "before").distinct())
     in_bin = Window.partitionBy(*keys, "bin").orderBy("value")
     ranked = (
-        binned.join(F.broadcast(wanted.select(*keys, "bin", "before").distinct()), [*keys, "bin"])
-        .groupBy(*keys, "bin", "before", "value").agg(F.count(F.lit(1)).alias("same"))
+        values.join(spots, [*keys, "bin"])
+        .groupBy(*keys, "bin", "before", "value").agg(F.sum("same").alias("same"))
         .withColumn("end", F.col("before") + F.sum("same").over(in_bin))
         .select(*keys, "bin", "value", "end", (F.col("end") - F.col("same")).alias("start"))
     )
-    found = ranked.join(F.broadcast(wanted.drop("before", "rows")), [*keys, "bin"]).where(
+    found = ranked.join(F.broadcast(wanted.drop("before")), [*keys, "bin"]).where(
         (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
     lower = F.max(F.when(~F.col("upper"), F.col("value")))
     upper = F.max(F.when(F.col("upper"), F.col("value")))
@@ -81,48 +88,42 @@ def exact_quantiles(
         (lower + F.coalesce((upper - lower) * F.max("weight"), F.lit(0.0))).alias("value"))
 
 
-def quantile_columns(
-    df: DataFrame, column: str, probabilities: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """The quantiles of one column side by side, one row per group."""
-    long = exact_quantiles(df, [column], list(probabilities.values()), by)
-    return long.groupBy(*by).agg(*(
+def by_name(quantiles: DataFrame, names: dict[str, float], keys: Sequence[str]) -> DataFrame:
+    """Quantile rows to named columns, one row per key."""
+    return quantiles.groupBy(*keys).agg(*(
         F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-        for name, p in probabilities.items()))
+        for name, p in names.items()))
+
+
+def quantile_columns(df: DataFrame, column: str, names: dict[str, float], by: Sequence[str] = (),
+                     costly: bool = False) -> DataFrame:
+    """The quantiles of one column side by side, one row per group."""
+    long = exact_quantiles(df, [column], list(names.values()), by, costly)
+    return by_name(long, names, by)
 
 
 def area_under_roc(df: DataFrame, score: str, label: str = "label",
-                   by: Sequence[str] = ()) -> DataFrame:
+                   by: Sequence[str] = ("split",)) -> DataFrame:
     """Exact area under the ROC curve per group of ``by`` (few values).
 
     A positive row counts the negatives scored below it and half of those
     scored the same; the sum over all is divided by positives x negatives.
     """
-    keys = list(by) or [F.lit(1).alias("all")]
-    names = list(by) or ["all"]
-    scored = df.select(*keys, F.col(score).cast("double").alias("score"),
-                       F.col(label).cast("double").alias("label"))
-    bounds = scored.groupBy(*names).agg(
-        F.min("score").alias("low"), F.max("score").alias("high"))
-    positives = F.count(F.when(F.col("label") == 1.0, 1))
-    negatives = F.count(F.when(F.col("label") != 1.0, 1))
-    tallied = (
-        scored.join(F.broadcast(bounds), names)
-        .withColumn("bin", value_bin(F.col("score"), F.col("low"), F.col("high")))
-        .groupBy(*names, "bin", "score")
-        .agg(positives.alias("p"), negatives.alias("q"))
-    )
-    # At most BINS rows per group.
-    below_bin = (
-        tallied.groupBy(*names, "bin").agg(F.sum("q").alias("bin_q"))
-        .withColumn("bin_below", F.sum("bin_q").over(
-            Window.partitionBy(*names).orderBy("bin")) - F.col("bin_q"))
-        .drop("bin_q")
+    value = F.col(score).cast("double")
+    rises = F.col(label) == 1.0
+    tallied = _tally(
+        df.select(*by, value.alias("value"), value_bin(value).alias("bin"),
+                  F.col(label).alias(label)).dropna(subset=[*by, "bin"]),
+        by, {"p": F.count_if(rises), "q": F.count_if(~rises)})
+    # A bounded number of bins per group.
+    in_order = Window.partitionBy(*by).orderBy("bin")
+    bins = (
+        tallied.groupBy(*by, "bin").agg(F.sum("q").alias("bin_q"))
+        .select(*by, "bin", (F.sum("bin_q").over(in_order) - F.col("bin_q")).alias("bin_below"))
     )
-    in_bin = Window.partitionBy(*names, "bin").orderBy("score")
-    counted = tallied.withColumn(
-        "below", F.sum("q").over(in_bin) - F.col("q")
-    ).join(F.broadcast(below_bin), [*names, "bin"])
+    in_bin = Window.partitionBy(*by, "bin").orderBy("value")
+    counted = tallied.withColumn("below", F.sum("q").over(in_bin) - F.col("q")).join(
+        F.broadcast(bins), [*by, "bin"])
     wins = F.sum(F.col("p") * (F.col("below") + F.col("bin_below") + F.col("q") / 2))
     pairs = F.sum("p").cast("double") * F.sum("q")
-    return counted.groupBy(*names).agg(F.try_divide(wins, pairs).alias("auc")).select(*by, "auc")
+    return counted.groupBy(*by).agg(F.try_divide(wins, pairs).alias("auc"))

@@ -25,16 +25,18 @@ def unbiased_kurtosis(column: str) -> Column:
     return F.when(n > 3, inner * (n - 1) / ((n - 2) * (n - 3)))
 
 
-def _basic(df: DataFrame) -> DataFrame:
-    return df.groupBy("split").agg(
+def _with_quantiles(df: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    basic = df.groupBy("split").agg(
         F.count(TARGET).alias("count"), F.mean(TARGET).alias("mean"),
         F.stddev_samp(TARGET).alias("std"), F.min(TARGET).alias("min"),
         F.max(TARGET).alias("max"))
+    # The target comes from windows: tally its values once rather than redo them.
+    return basic.join(quantile_columns(df, TARGET, quantiles, ["split"], costly=True), "split")
 
 
 def label_distribution(df: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and seven percentiles per split."""
-    return _basic(df).join(quantile_columns(df, TARGET, DISTRIBUTION_QUANTILES, ["split"]), "split")
+    return _with_quantiles(df, DISTRIBUTION_QUANTILES)
 
 
 def label_moments(df: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def label_moments(df: DataFrame) -> DataFrame:
 
 def label_summary_table(df: DataFrame) -> DataFrame:
     """The side-by-side comparison of the splits."""
-    return _basic(df).join(quantile_columns(df, TARGET, SUMMARY_QUANTILES, ["split"]), "split")
+    return _with_quantiles(df, SUMMARY_QUANTILES)
 
 
 def binary_balance(df: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def classification_scores(later: DataFrame) -> Score:
         raw = vector_to_array("rawPrediction")[1].alias("score")
         predicted = model.transform(later).select("split", "label", "prediction", raw).persist()
         try:
-            areas = area_under_roc(predicted, "score", by=["split"])
+            areas = area_under_roc(predicted, "score")
             rows = classification_metrics(predicted).join(areas, "split").collect()  # 2 rows
         finally:
             predicted.unpersist()

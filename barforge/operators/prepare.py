@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, WindowSpec, functions as F
 
-from barforge.constants import FEATURES, HORIZON, LEGACY_FEATURES, MIN_ROWS, PAST_RETURN_LAGS
-from barforge.functions.history import MAX_ROWS_PER_TASK, over_history, present
+from barforge.constants import (
+    FEATURES, HORIZON, LEGACY_FEATURES, MARKET_FEATURES, MIN_ROWS, PAST_RETURN_LAGS,
+)
+from barforge.functions.history import MAX_ROWS_PER_TASK, over_history
 from barforge.operators.clean import clean_market_data
 from barforge.operators.features import (
     FEATURE_ROWS_BACK, add_cyclic_features, add_market_features, add_past_returns,
@@ -11,11 +13,19 @@ from barforge.operators.features import (
 from barforge.operators.targets import add_binary_label, add_log_return
 
 
+def _complete(df: DataFrame, target: str, features: list[str]) -> DataFrame:
+    """Rows with a date, a target and every feature that can be missing (NULL or NaN).
+
+    The date features follow from the date; they are added behind this filter,
+    which would otherwise compute them twice.
+    """
+    return df.where(F.col("Date").isNotNull()).dropna(subset=[target, *features])
+
+
 def _with_label(df: DataFrame, target: str, features: list[str], keys: list[str]) -> DataFrame:
-    """Complete rows only: keys, features and the target as a double ``label``."""
-    return df.where(present([target, *features])).select(
-        *keys, *(F.col(c).cast("double").alias(c) for c in features),
-        F.col(target).cast("double").alias("label"))
+    """Keys, features and the target as a double ``label``."""
+    return df.select(*keys, *(F.col(c).cast("double").alias(c) for c in features),
+                     F.col(target).cast("double").alias("label"))
 
 
 def _features_and_return(bars: DataFrame, min_rows: int, max_rows: int) -> DataFrame:
@@ -25,15 +35,15 @@ def _features_and_return(bars: DataFrame, min_rows: int, max_rows: int) -> DataF
     windowed = over_history(
         clean_market_data(bars), add, back=FEATURE_ROWS_BACK, ahead=HORIZON,
         min_rows=min_rows, max_rows=max_rows, sized_by=bars)
-    return add_cyclic_features(windowed)
+    return add_cyclic_features(_complete(windowed, f"LogReturn{HORIZON}", MARKET_FEATURES))
 
 
 def prepare_classification(
     bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK
 ) -> DataFrame:
     """Symbol, Date, 33 features and the direction of the 20-row return."""
-    df = _features_and_return(bars, min_rows, max_rows).where(present([f"LogReturn{HORIZON}"]))
-    return _with_label(add_binary_label(df), "label_bin", FEATURES, ["Symbol", "Date"])
+    df = add_binary_label(_features_and_return(bars, min_rows, max_rows))
+    return _with_label(df, "label_bin", FEATURES, ["Symbol", "Date"])
 
 
 def prepare_regression(
@@ -56,9 +66,11 @@ def prepare_legacy(
 
     windowed = over_history(
         bars, add, back=max(PAST_RETURN_LAGS), ahead=HORIZON, max_rows=max_rows)
-    df = add_cyclic_features(windowed, weekday=False)
+    target = f"LogReturn{HORIZON}"
+    past = [f"PastReturn{k}" for k in PAST_RETURN_LAGS]
+    df = add_cyclic_features(_complete(windowed, target, past), weekday=False)
     keys = ["Symbol", "Date"] if keys is None else keys
-    return _with_label(df, f"LogReturn{HORIZON}", LEGACY_FEATURES, keys)
+    return _with_label(df, target, LEGACY_FEATURES, keys)
 
 
 def labelled_bars(
@@ -69,4 +81,4 @@ def labelled_bars(
     windowed = over_history(
         clean_market_data(bars), add_log_return, ahead=HORIZON,
         min_rows=min_rows, max_rows=max_rows, sized_by=bars)
-    return windowed.where(present([target])).select("Symbol", "Date", target)
+    return windowed.dropna(subset=[target]).select("Symbol", "Date", target)

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from barforge.constants import NUMERIC_COLUMNS, PRICE_COLUMNS
-from barforge.functions.ranks import exact_quantiles
+from barforge.functions.ranks import by_name, exact_quantiles
 from barforge.operators.coverage import describe_counts
 
 QUANTILES = (0.01, 0.05, 0.5, 0.95, 0.99, 0.999)
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SHORT_HISTORIES = (30, 40, 60)
 
 
@@ -100,16 +101,13 @@ def column_summary(df: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per number column; count,
     distinct values, most frequent value (tie: smallest) and its frequency of the
     symbol."""
-    quartiles = exact_quantiles(df, NUMERIC_COLUMNS, (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(df, NUMERIC_COLUMNS, list(QUARTILES.values()))
     long = df.select(*(F.col(c).cast("double").alias(c) for c in NUMERIC_COLUMNS)).unpivot(
         [], NUMERIC_COLUMNS, "column", "value").where(~F.isnan("value"))
     numbers = long.groupBy("column").agg(
         F.count("value").alias("count"), F.mean("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    side_by_side = quartiles.groupBy("column").agg(*(
-        F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-        for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))))
     symbols = df.where(F.col("Symbol").isNotNull()).groupBy("Symbol").agg(
         F.count(F.lit(1)).alias("n"))
     texts = symbols.agg(
@@ -117,7 +115,7 @@ def column_summary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
     top = symbols.orderBy(F.desc("n"), "Symbol").limit(1).select(F.col("Symbol").alias("top"))
     texts = texts.withColumn("top", top.scalar())
-    return numbers.join(side_by_side, "column", "left").unionByName(
+    return numbers.join(by_name(quartiles, QUARTILES, ["column"]), "column", "left").unionByName(
         texts, allowMissingColumns=True)
 
 
@@ -126,18 +124,18 @@ def date_summary(df: DataFrame) -> DataFrame:
     seconds = df.where(F.col("Date").isNotNull()).select(
         F.unix_micros(F.col("Date").cast("timestamp")).cast("double").alias("micros"))
     kind = df.schema["Date"].dataType
-    basic = seconds.agg(F.count("micros").alias("count"), F.mean("micros").alias("mean"),
-                        F.min("micros").alias("min"), F.max("micros").alias("max"))
-    quartiles = exact_quantiles(seconds, ["micros"], (0.25, 0.5, 0.75)).agg(*(
-        F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-        for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))))
+    quartiles = exact_quantiles(seconds, ["micros"], list(QUARTILES.values()))
+    one_row = by_name(quartiles, QUARTILES, []).select(F.struct(*QUARTILES)).scalar()
+    summary = seconds.agg(
+        F.count("micros").alias("count"), F.mean("micros").alias("mean"),
+        F.min("micros").alias("min"), F.max("micros").alias("max"),
+    ).withColumn("quartiles", one_row).select("*", "quartiles.*")
 
     def as_date(name: str) -> Column:
         # Whole seconds, so a mean between two days does not depend on float noise.
         return F.timestamp_seconds(F.floor(F.col(name) / 1e6)).cast(kind).alias(name)
 
-    both = basic.withColumn("one", F.lit(1)).join(quartiles.withColumn("one", F.lit(1)), "one")
-    return both.select("count", *map(as_date, ("mean", "min", "p25", "p50", "p75", "max")))
+    return summary.select("count", *map(as_date, ("mean", "min", "p25", "p50", "p75", "max")))
 
 
 def _checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

@@ -196,7 +196,7 @@ def best_per_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def auc_exact(df: DataFrame) -> DataFrame:
-    return area_under_roc(df, "ret_5", by=["split"])
+    return area_under_roc(df, "ret_5")
 
 
 def hash_split(df: DataFrame) -> DataFrame:
