@@ -35,28 +35,35 @@ def over_history(
     more than ``max_rows`` rows is cut into blocks of that many rows, each sent
     to its task together with the ``back`` rows before and the ``ahead`` rows
     behind it, so the results are the same and no task gets the whole symbol.
-    ``sized_by`` may name a frame with at least the rows of ``df`` whose symbol
-    counts are cheaper to get (the bars before cleaning, say).
+    ``sized_by`` may name a frame with at least as many rows per symbol as ``df``
+    whose counts are cheaper to get (the bars before cleaning, say).
     """
     sizes = (df if sized_by is None else sized_by).groupBy("Symbol").count()
     if sizes.where(F.col("count") > max_rows).isEmpty():
-        if min_rows > 1:
-            everything = Window.partitionBy("Symbol")
-            df = df.withColumn("symbol_rows", F.count(F.lit(1)).over(everything))
-            df = df.where(F.col("symbol_rows") >= min_rows).drop("symbol_rows")
-        return add_columns(df, Window.partitionBy("Symbol").orderBy("Date"))
+        in_order = Window.partitionBy("Symbol").orderBy("Date")
+        if min_rows <= 1:
+            return add_columns(df, in_order)
+        # Counted over the ordered window, so that it shares the features' sort.
+        counted = df.withColumn("symbol_rows", F.count(F.lit(1)).over(_whole(in_order)))
+        added = add_columns(counted, in_order)
+        return added.where(F.col("symbol_rows") >= min_rows).drop("symbol_rows")
 
     columns = df.columns
     blocks = _spread_long_histories(df, back, ahead, max_rows)
-    whole_block = Window.partitionBy("Symbol", "block")
-    in_order = whole_block.orderBy("Date")
-    position = F.min("day_start").over(whole_block) + F.row_number().over(in_order) - 1
+    in_order = Window.partitionBy("Symbol", "block").orderBy("Date")
+    block_start = F.min("day_start").over(_whole(in_order))
+    position = block_start + F.row_number().over(in_order) - 1
     placed = blocks.withColumns({
-        "own_row": (F.floor(position / F.lit(max_rows)) == F.col("block")),
-        "symbol_rows": F.coalesce("symbol_rows", F.count(F.lit(1)).over(whole_block)),
-    }).where(F.col("symbol_rows") >= min_rows)
-    added = add_columns(placed.select(*columns, "block", "own_row"), in_order)
-    return added.where("own_row").drop("block", "own_row")
+        "own_row": F.floor(position / F.lit(max_rows)) == F.col("block"),
+        "symbol_rows": F.coalesce("symbol_rows", F.count(F.lit(1)).over(_whole(in_order))),
+    })
+    added = add_columns(placed.select(*columns, "block", "own_row", "symbol_rows"), in_order)
+    kept = added.where(F.col("own_row") & (F.col("symbol_rows") >= min_rows))
+    return kept.drop("block", "own_row", "symbol_rows")
+
+
+def _whole(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _spread_long_histories(df: DataFrame, back: int, ahead: int, max_rows: int) -> DataFrame:

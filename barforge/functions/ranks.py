@@ -68,20 +68,23 @@ def exact_quantiles(
             "probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities))))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(exact), F.ceil(exact)))))
         .where(held)
-        .select(*keys, "bin", "before", "probability", "rank",
-                (F.col("rank") > exact).alias("upper"), (exact - F.floor(exact)).alias("weight"))
+        .withColumn("target", F.struct(
+            "probability", "rank", (F.col("rank") > exact).alias("upper"),
+            (exact - F.floor(exact)).alias("weight")))
+        .groupBy(*keys, "bin", "before").agg(F.collect_list("target").alias("targets"))
     )
-    # Both broadcasts: at most two rows per group, column and probability.
-    spots = F.broadcast(wanted.select(*keys, "bin", "before").distinct())
+    # The broadcast has at most two rows per group, column and probability.
     in_bin = Window.partitionBy(*keys, "bin").orderBy("value")
     ranked = (
-        values.join(spots, [*keys, "bin"])
-        .groupBy(*keys, "bin", "before", "value").agg(F.sum("same").alias("same"))
+        values.join(F.broadcast(wanted), [*keys, "bin"])
+        .groupBy(*keys, "bin", "value").agg(
+            F.sum("same").alias("same"), F.first("before").alias("before"),
+            F.first("targets").alias("targets"))
         .withColumn("end", F.col("before") + F.sum("same").over(in_bin))
-        .select(*keys, "bin", "value", "end", (F.col("end") - F.col("same")).alias("start"))
+        .withColumn("start", F.col("end") - F.col("same"))
     )
-    found = ranked.join(F.broadcast(wanted.drop("before")), [*keys, "bin"]).where(
-        (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
+    hits = F.filter("targets", lambda t: (t.rank >= F.col("start")) & (t.rank < F.col("end")))
+    found = ranked.select(*keys, "value", F.inline(hits))
     lower = F.max(F.when(~F.col("upper"), F.col("value")))
     upper = F.max(F.when(F.col("upper"), F.col("value")))
     return found.groupBy(*keys, "probability").agg(

@@ -1,4 +1,7 @@
-"""Model frames: cleaned bars with features, target and split."""
+"""Model frames: cleaned bars with features and target.
+
+``max_rows`` and ``sized_by`` are those of ``over_history``.
+"""
 
 from pyspark.sql import DataFrame, WindowSpec, functions as F
 
@@ -28,57 +31,61 @@ def _with_label(df: DataFrame, target: str, features: list[str], keys: list[str]
                      F.col(target).cast("double").alias("label"))
 
 
-def _features_and_return(bars: DataFrame, min_rows: int, max_rows: int) -> DataFrame:
+def _features_and_return(bars: DataFrame, min_rows: int, max_rows: int,
+                         sized_by: DataFrame | None) -> DataFrame:
     def add(df: DataFrame, window: WindowSpec) -> DataFrame:
         return add_market_features(add_log_return(df, window), window)
 
     windowed = over_history(
         clean_market_data(bars), add, back=FEATURE_ROWS_BACK, ahead=HORIZON,
-        min_rows=min_rows, max_rows=max_rows, sized_by=bars)
+        min_rows=min_rows, max_rows=max_rows, sized_by=sized_by or bars)
     return add_cyclic_features(_complete(windowed, f"LogReturn{HORIZON}", MARKET_FEATURES))
 
 
 def prepare_classification(
-    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK
+    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Symbol, Date, 33 features and the direction of the 20-row return."""
-    df = add_binary_label(_features_and_return(bars, min_rows, max_rows))
+    df = add_binary_label(_features_and_return(bars, min_rows, max_rows, sized_by))
     return _with_label(df, "label_bin", FEATURES, ["Symbol", "Date"])
 
 
 def prepare_regression(
-    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK
+    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Symbol, Date, 33 features and the 20-row log return."""
-    df = _features_and_return(bars, min_rows, max_rows)
+    df = _features_and_return(bars, min_rows, max_rows, sized_by)
     return _with_label(df, f"LogReturn{HORIZON}", FEATURES, ["Symbol", "Date"])
 
 
 def prepare_legacy(
-    bars: DataFrame, keys: list[str] | None = None, max_rows: int = MAX_ROWS_PER_TASK
+    bars: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, sized_by: DataFrame | None = None
 ) -> DataFrame:
     """The early seven-feature regression frame: uncleaned bars, no weekday.
 
-    ``keys`` (Symbol and Date by default) only serve the hash split and folds.
+    Symbol and Date only serve the hash split and folds.
     """
     def add(df: DataFrame, window: WindowSpec) -> DataFrame:
         return add_past_returns(add_log_return(df, window), window)
 
     windowed = over_history(
-        bars, add, back=max(PAST_RETURN_LAGS), ahead=HORIZON, max_rows=max_rows)
+        bars, add, back=max(PAST_RETURN_LAGS), ahead=HORIZON,
+        max_rows=max_rows, sized_by=sized_by)
     target = f"LogReturn{HORIZON}"
     past = [f"PastReturn{k}" for k in PAST_RETURN_LAGS]
     df = add_cyclic_features(_complete(windowed, target, past), weekday=False)
-    keys = ["Symbol", "Date"] if keys is None else keys
-    return _with_label(df, target, LEGACY_FEATURES, keys)
+    return _with_label(df, target, LEGACY_FEATURES, ["Symbol", "Date"])
 
 
 def labelled_bars(
-    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK
+    bars: DataFrame, min_rows: int = MIN_ROWS, max_rows: int = MAX_ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Symbol, Date and LogReturn20 of cleaned rows that have a return."""
     target = f"LogReturn{HORIZON}"
     windowed = over_history(
         clean_market_data(bars), add_log_return, ahead=HORIZON,
-        min_rows=min_rows, max_rows=max_rows, sized_by=bars)
+        min_rows=min_rows, max_rows=max_rows, sized_by=sized_by or bars)
     return windowed.dropna(subset=[target]).select("Symbol", "Date", target)

@@ -8,35 +8,46 @@ than by numbering rows in a window.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def _bars(df: DataFrame, symbol: Column, date: Column, price: str, order: list[str],
+def _bars(df: DataFrame, group: list[Column], symbol: Column, price: str, order: list[str],
           volume: Column) -> DataFrame:
+    """Bars per group, whose first columns make up the symbol and the last is ``Date``."""
     position = F.struct(*order)
-    return df.groupBy(symbol.alias("Symbol"), date.alias("Date")).agg(
+    bars = df.groupBy(*group).agg(
         F.min_by(price, position).alias("Open"), F.max(price).alias("High"),
         F.min(price).alias("Low"), F.max_by(price, position).alias("Close"),
-        volume.alias("Volume"), F.lit(0.0).alias("OpenInt"))
+        volume.alias("Volume"))
+    return bars.select(symbol.alias("Symbol"), "Date", "Open", "High", "Low", "Close", "Volume",
+                       F.lit(0.0).alias("OpenInt"))
 
 
-def _line_bars(spark: SparkSession, sf_dir: str, symbol: Column) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
+def _line_bars(spark: SparkSession, sf_dir: str, parts: list[str]) -> DataFrame:
     # Some orders count as halted: their lines have no volume.
     halted = F.col("l_orderkey") % 89 == 0
     return _bars(
-        lines, symbol, F.col("l_shipdate"), "l_extendedprice",
+        _lines(spark, sf_dir), [*map(F.col, parts), F.col("l_shipdate").alias("Date")],
+        F.concat_ws("-", *(F.col(c).cast("string") for c in parts)), "l_extendedprice",
         ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
         F.sum(F.when(halted, 0.0).otherwise(F.col("l_quantity"))))
 
 
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bar per supplier and shipping day."""
-    return _line_bars(spark, sf_dir, F.col("l_suppkey").cast("string"))
+    return _line_bars(spark, sf_dir, ["l_suppkey"])
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line: no fewer per symbol than bars, and one column to read."""
+    return _lines(spark, sf_dir).select(F.col("l_suppkey").cast("string").alias("Symbol"))
 
 
 def class_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bar per supplier, line class and shipping day: many short histories
     that begin and end at different times."""
-    return _line_bars(spark, sf_dir, F.concat_ws(
-        "-", F.col("l_suppkey").cast("string"), "l_returnflag", "l_linestatus"))
+    return _line_bars(spark, sf_dir, ["l_suppkey", "l_returnflag", "l_linestatus"])
 
 
 def flawed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,5 +75,5 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bar per event type and hour."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     hour = F.date_trunc("hour", "ts").cast(events.schema["ts"].dataType)
-    return _bars(events, F.col("event_type"), hour, "value", ["ts", "event_id"],
-                 F.count(F.lit(1)).cast("double"))
+    return _bars(events, [F.col("event_type"), hour.alias("Date")], F.col("event_type"), "value",
+                 ["ts", "event_id"], F.count(F.lit(1)).cast("double"))

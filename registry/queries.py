@@ -59,8 +59,9 @@ def history(add: Callable[[DataFrame, WindowSpec], DataFrame], columns: list[str
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = tables.supplier_bars(spark, sf_dir)
         return comparable(
-            over_history(bars, add, back=back, ahead=ahead).select("Symbol", "Date", *columns),
-            nudge)
+            over_history(bars, add, back=back, ahead=ahead,
+                         sized_by=tables.supplier_lines(spark, sf_dir))
+            .select("Symbol", "Date", *columns), nudge)
     return query
 
 
@@ -74,15 +75,18 @@ def bar_columns(operator: Callable[[DataFrame], DataFrame], columns: list[str],
 
 
 def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare_classification(tables.supplier_bars(spark, sf_dir))
+    return prepare.prepare_classification(
+        tables.supplier_bars(spark, sf_dir), sized_by=tables.supplier_lines(spark, sf_dir))
 
 
 def regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare_regression(tables.supplier_bars(spark, sf_dir))
+    return prepare.prepare_regression(
+        tables.supplier_bars(spark, sf_dir), sized_by=tables.supplier_lines(spark, sf_dir))
 
 
 def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare_legacy(tables.supplier_bars(spark, sf_dir))
+    return prepare.prepare_legacy(
+        tables.supplier_bars(spark, sf_dir), sized_by=tables.supplier_lines(spark, sf_dir))
 
 
 def by_date(source: Query) -> Query:
@@ -92,13 +96,16 @@ def by_date(source: Query) -> Query:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled supplier bars with their split."""
-    bars = prepare.labelled_bars(tables.supplier_bars(spark, sf_dir))
+    bars = prepare.labelled_bars(
+        tables.supplier_bars(spark, sf_dir), sized_by=tables.supplier_lines(spark, sf_dir))
     return split.add_temporal_split(bars, TRAIN_END, VAL_END)
 
 
 def class_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled bars of the short histories with their split."""
-    bars = prepare.labelled_bars(tables.class_bars(spark, sf_dir), CLASS_MIN_ROWS)
+    # A class has no more lines than its supplier.
+    bars = prepare.labelled_bars(tables.class_bars(spark, sf_dir), CLASS_MIN_ROWS,
+                                 sized_by=tables.supplier_lines(spark, sf_dir))
     return split.add_temporal_split(bars, CLASS_TRAIN_END, CLASS_VAL_END)
 
 
@@ -261,7 +268,8 @@ QUERIES: dict[str, Query] = {
     "clean_ohlc": on(tables.flawed_bars, clean.keep_consistent),
     "clean_market_data": on(tables.flawed_bars, clean.clean_market_data),
     "min_rows_filter": lambda spark, sf_dir: comparable(over_history(
-        tables.supplier_bars(spark, sf_dir), lambda df, window: df, min_rows=MIN_ROWS)),
+        tables.supplier_bars(spark, sf_dir), lambda df, window: df, min_rows=MIN_ROWS,
+        sized_by=tables.supplier_lines(spark, sf_dir))),
     "min_rows_semijoin": on(tables.supplier_bars, lambda df:
                             clean.filter_symbols_by_min_rows(df, MIN_ROWS)),
     # targets and windows

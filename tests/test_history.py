@@ -1,0 +1,142 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from barforge import constants as K
+from barforge.functions.history import over_history
+from barforge.operators import features, prepare, targets
+from tests.bars import frame, random_bars, rows
+
+LENGTHS = {"long": 400, "middle": 130, "short": 70, "tiny": 12}
+
+
+@pytest.fixture(scope="module")
+def pdf():
+    return random_bars(LENGTHS)
+
+
+def by_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Every market feature of one symbol at a time."""
+    def one(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("Date").copy()
+        c, v = g["Close"], g["Volume"]
+        for k in K.RETURN_LAGS:
+            g[f"ret_{k}"] = c / c.shift(k) - 1
+        for n in K.VOLATILITY_ROWS:
+            g[f"vol_{n}"] = g["ret_1"].rolling(n, min_periods=2).std()
+        g["vol_ratio_5_20"] = g["vol_5"] / g["vol_20"]
+        for n in K.PRICE_AVERAGE_ROWS:
+            g[f"ma_ratio_{n}"] = c / c.rolling(n, min_periods=1).mean()
+        g["intraday_range"] = (g["High"] - g["Low"]) / c
+        g["open_close_change"] = c / g["Open"] - 1
+        g["high_close_ratio"] = g["High"] / c - 1
+        g["close_low_ratio"] = 1 - g["Low"] / c
+        g["gap_open"] = g["Open"] / c.shift(1) - 1
+        for n in K.VOLUME_AVERAGE_ROWS:
+            g[f"volume_ratio_{n}"] = v / v.rolling(n, min_periods=1).mean().replace(0, np.nan)
+        g["volume_change_1"] = v / v.shift(1).replace(0, np.nan) - 1
+        g["log_volume"] = np.log1p(v)
+        for n in K.DRAWDOWN_ROWS:
+            g[f"drawdown_{n}"] = c / c.rolling(n, min_periods=1).max() - 1
+        g["close_to_max_20"] = c / c.rolling(20, min_periods=1).max()
+        g["close_to_min_20"] = c / c.rolling(20, min_periods=1).min()
+        g["LogReturn20"] = np.log(c.shift(-20) / c)
+        return g
+
+    return pd.concat([one(g) for _, g in pdf.groupby("Symbol")])
+
+
+def all_columns(df, window):
+    return features.add_market_features(targets.add_log_return(df, window), window)
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 100, 61, 7])
+def test_features_equal_pandas_however_long_histories_are_cut(spark, pdf, max_rows):
+    df = over_history(frame(spark, pdf), all_columns, back=features.FEATURE_ROWS_BACK,
+                      ahead=K.HORIZON, max_rows=max_rows)
+    names = [*K.MARKET_FEATURES, "LogReturn20"]
+    got = rows(df.select("Symbol", "Date", *names), "Symbol", "Date")
+    want = by_pandas(pdf).sort_values(["Symbol", "Date"]).reset_index(drop=True)
+    assert len(got) == len(pdf)
+    pd.testing.assert_frame_equal(
+        got[names].astype(float), want[names].astype(float), rtol=1e-9, atol=1e-12)
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 50])
+def test_short_histories_are_dropped(spark, pdf, max_rows):
+    df = over_history(frame(spark, pdf), all_columns, back=60, ahead=20,
+                      min_rows=71, max_rows=max_rows)
+    counts = dict(df.groupBy("Symbol").count().collect())
+    assert counts == {"long": 400, "middle": 130}
+
+
+def test_rows_without_a_date_and_copies_survive_blocks(spark, pdf):
+    odd = pd.concat([pdf, pdf[pdf.Symbol == "long"].iloc[:30]])
+    odd.loc[odd.Symbol == "middle", "Date"] = pd.NaT
+    df = frame(spark, odd)
+    cut = over_history(df, lambda d, w: d, back=5, ahead=5, max_rows=40)
+    assert cut.count() == len(odd)
+    assert cut.exceptAll(df).isEmpty() and df.exceptAll(cut).isEmpty()
+
+
+def test_prepared_frame_is_complete_and_independent_of_blocks(spark, pdf):
+    df = frame(spark, pdf)
+    whole = prepare.prepare_classification(df)
+    cut = prepare.prepare_classification(df, max_rows=64)
+    assert whole.columns == ["Symbol", "Date", *K.FEATURES, "label"]
+    a, b = rows(whole, "Symbol", "Date"), rows(cut, "Symbol", "Date")
+    pd.testing.assert_frame_equal(a, b, rtol=1e-12)
+    assert a.notna().all().all() and set(a["label"]) <= {0.0, 1.0}
+    # 40 rows warm-up and 20 without a target, fewer where volume was zero before.
+    assert 0 < len(a[a.Symbol == "long"]) <= 400 - 60
+    assert "tiny" not in set(a.Symbol)
+
+
+def test_one_shuffle_for_all_features(spark, pdf):
+    path_free = frame(spark, pdf)
+    plan = prepare.prepare_regression(path_free)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_target_edges(spark):
+    n = 25
+    pdf = pd.DataFrame({
+        "Symbol": "a", "Date": pd.date_range("2020-01-01", periods=n),
+        "Close": [1.0] * 20 + [1.0, 2.0, 0.5, 1.0, 1.0]})
+    df = over_history(frame(spark, pdf), targets.add_target_variable, ahead=20)
+    got = rows(df, "Date")
+    assert got["LogReturn20"].isna().tolist() == [False] * 5 + [True] * 20
+    # A return of zero and a missing return are class 0.
+    assert got["label_bin"].tolist() == [0, 1, 0, 0, 0] + [0] * 20
+
+
+def test_past_returns_are_past_over_present(spark, pdf):
+    df = over_history(frame(spark, pdf), features.add_past_returns, back=10)
+    got = rows(df, "Symbol", "Date")
+    want = pdf.sort_values(["Symbol", "Date"]).reset_index(drop=True)
+    for k in K.PAST_RETURN_LAGS:
+        expected = np.log(want.groupby("Symbol")["Close"].shift(k) / want["Close"])
+        np.testing.assert_allclose(got[f"PastReturn{k}"], expected, rtol=1e-12)
+
+
+def test_cyclic_features(spark):
+    df = spark.sql("SELECT TIMESTAMP'2017-01-01 00:00:00' AS Date")  # a Sunday
+    got = features.add_cyclic_features(df).first()
+    assert [got[c] for c in K.CYCLIC_FEATURES] == [0, 1, 0, 1, 0, 1]
+    got = features.add_cyclic_features(
+        spark.sql("SELECT TIMESTAMP'2017-04-02 00:00:00' AS Date")).first()
+    assert got["DateMonthSin"] == pytest.approx(1)
+    assert got["DateDaySin"] == pytest.approx(np.sin(2 * np.pi / 31))
+    assert "DayOfWeekSin" not in features.add_cyclic_features(df, weekday=False).columns
+
+
+def test_ratios_without_denominator_are_null(spark):
+    pdf = pd.DataFrame({
+        "Symbol": "a", "Date": pd.date_range("2020-01-01", periods=3),
+        "Volume": [0.0, 5.0, 10.0]})
+    df = over_history(frame(spark, pdf), features.add_volume_features, back=20)
+    got = rows(df, "Date")
+    assert got["volume_change_1"].isna().tolist() == [True, True, False]
+    assert got["volume_ratio_10"].isna().tolist() == [True, False, False]
+    assert df.where(F.col("volume_ratio_10").isNull()).count() == 1
