@@ -12,12 +12,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session may fall back to a temporary folder: on a cluster that
     folder would exist on one machine alone.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="barforge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="barforge-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

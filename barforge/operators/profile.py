@@ -146,15 +146,20 @@ def _checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     ).select("check", "rows", F.try_divide("rows", "total").alias("share"))
 
 
+def _known(name: str) -> Column:
+    """The value, NULL for NaN, which would compare as larger than any number."""
+    return F.nanvl(name, F.lit(None).cast("double"))
+
+
 def invalid_value_checks(df: DataFrame) -> DataFrame:
-    checks = {f"{c} <= 0": F.col(c) <= 0 for c in PRICE_COLUMNS}
-    checks |= {"Volume < 0": F.col("Volume") < 0, "Volume == 0": F.col("Volume") == 0}
+    checks = {f"{c} <= 0": _known(c) <= 0 for c in PRICE_COLUMNS}
+    checks |= {"Volume < 0": _known("Volume") < 0, "Volume == 0": _known("Volume") == 0}
     return _checks(df, checks)
 
 
 def ohlc_violation_checks(df: DataFrame) -> DataFrame:
-    checks = {f"High < {c}": F.col("High") < F.col(c) for c in ("Open", "Close", "Low")}
-    checks |= {f"Low > {c}": F.col("Low") > F.col(c) for c in ("Open", "Close")}
+    checks = {f"High < {c}": _known("High") < _known(c) for c in ("Open", "Close", "Low")}
+    checks |= {f"Low > {c}": _known("Low") > _known(c) for c in ("Open", "Close")}
     return _checks(df, checks)
 
 

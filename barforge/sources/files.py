@@ -13,13 +13,22 @@ from barforge.operators.clean import drop_null_prices
 # --- fixed values: file names ------------------------------------------------------
 # An optional folder of part files follows the name; "file=" is its partition key.
 FILE_PATTERN = r"(?:^|/)(?:file=)?([^/]+\.txt)(?:/[^/]+)?$"
+PARTITION_PATTERN = r"(?:^|/)file=[^/]+/[^/]+$"
 SYMBOL_PATTERN = r"(?:^|/)(?:file=)?([^/]+)\.us\.txt(?:/[^/]+)?$"
 
 
-def file_path(path: str = "_metadata.file_path") -> Column:
-    """The path of the row's file as written; Spark gives it URL-encoded."""
+def _decoded(text: Column) -> Column:
     # A plus sign is not encoded in paths but would decode to a blank.
-    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def file_path(path: str = "_metadata.file_path") -> Column:
+    """The path of the row's file as written; Spark gives it URL-encoded.
+
+    Names of partition folders are encoded once more when they are written.
+    """
+    plain = _decoded(F.col(path))
+    return F.when(plain.rlike(PARTITION_PATTERN), _decoded(plain)).otherwise(plain)
 
 
 def symbol_of(path: Column) -> Column:

@@ -1,0 +1,203 @@
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from barforge.operators import clean, coverage, labels, profile, split
+from tests.bars import COLUMNS, frame, random_bars
+
+SCHEMA = ("Symbol string, Date timestamp_ntz, Open double, High double, Low double, Close double, "
+          "Volume double, OpenInt double")
+DAY = dt.datetime(2020, 1, 1)
+
+
+def bars(spark, *prices):
+    return spark.createDataFrame([("a", DAY, *p, 0.0) for p in prices], SCHEMA)
+
+
+@pytest.mark.parametrize("row, kept", [
+    ((2.0, 3.0, 1.0, 2.0, 0.0), True),
+    ((0.0, 3.0, 0.0, 2.0, 5.0), False), ((2.0, 3.0, -1.0, 2.0, 5.0), False),
+    ((2.0, 3.0, 1.0, 2.0, -1.0), False), ((2.0, 3.0, 1.0, 2.0, None), False),
+    ((4.0, 3.0, 1.0, 2.0, 5.0), False), ((2.0, 3.0, 1.0, 4.0, 5.0), False),
+    ((2.0, 3.0, 2.5, 2.6, 5.0), False), ((None, 3.0, 1.0, 2.0, 5.0), False),
+])
+def test_cleaning(spark, row, kept):
+    assert clean.clean_market_data(bars(spark, row)).count() == int(kept)
+
+
+def test_null_prices_are_dropped_but_not_null_volume(spark):
+    df = bars(spark, (2.0, 3.0, 1.0, 2.0, None), (2.0, float("nan"), 1.0, 2.0, 1.0),
+              (2.0, 3.0, None, 2.0, 1.0))
+    assert clean.drop_null_prices(df).count() == 1
+
+
+def test_min_rows_filter(spark):
+    df = frame(spark, random_bars({"a": 60, "b": 59}))
+    assert [r[0] for r in clean.filter_symbols_by_min_rows(df).groupBy("Symbol").count()
+            .collect()] == ["a"]
+
+
+def test_splits_are_half_open_and_drop_missing_dates(spark):
+    days = ["2014-12-31 23:59:59", "2015-01-01 00:00:00", "2015-12-31 00:00:00",
+            "2016-01-01 00:00:00", None]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame([(d,) for d in days], "d string").select(
+            F.col("d").cast(kind).alias("Date"))
+        got = [r["split"] for r in split.add_temporal_split(df).orderBy("Date").collect()]
+        assert got == ["train", "validation", "validation", "test"]
+
+
+def test_hash_split_does_not_depend_on_partitions(spark):
+    df = frame(spark, random_bars({"a": 3000, "b": 2000}))
+    one, many = (split.add_fold(split.add_hash_split(df.repartition(n)), 3) for n in (1, 9))
+    assert one.exceptAll(many).isEmpty()
+    share = one.where("split = 'train'").count() / 5000
+    assert 0.77 < share < 0.83
+    folds = dict(one.groupBy("fold").count().collect())
+    assert set(folds) == {0, 1, 2} and min(folds.values()) > 1500
+
+
+@pytest.fixture(scope="module")
+def dirty():
+    pdf = random_bars({"a": 50, "b": 35, "": 20}, seed=4)
+    pdf.loc[3, "Open"] = np.nan
+    pdf.loc[5, "Low"] = -1.0
+    pdf.loc[7, "Date"] = pd.NaT
+    return pd.concat([pdf, pdf.iloc[10:14], pdf.iloc[10:11]], ignore_index=True)
+
+
+def test_counts_equal_pandas(spark, dirty):
+    df = frame(spark, dirty)
+    nulls = {r["column"]: r.nulls for r in profile.null_counts(df).collect()}
+    assert nulls == dirty.isna().sum().to_dict()
+    assert profile.empty_string_counts(df).collect() == [("Symbol", 20)]
+    assert profile.duplicate_count(df).first()[0] == dirty.duplicated().sum() == 5
+    assert profile.duplicate_count(df, ["Symbol", "Date"]).first()[0] == dirty.duplicated(
+        ["Symbol", "Date"]).sum()
+    assert profile.date_range(df).first() == (
+        dirty.Date.min().to_pydatetime(), dirty.Date.max().to_pydatetime(), 1)
+    shape = profile.table_shape(df).orderBy("position").collect()
+    assert [r["column"] for r in shape] == COLUMNS and {r.rows for r in shape} == {len(dirty)}
+    checks = {r["check"]: (r.rows, r.share) for r in profile.invalid_value_checks(df).collect()}
+    assert checks["Low <= 0"] == (1, pytest.approx(1 / len(dirty)))
+    assert checks["Volume == 0"][0] == (dirty.Volume == 0).sum()
+    broken = {r["check"]: r.rows for r in profile.ohlc_violation_checks(df).collect()}
+    assert broken == {"High < Open": 0, "High < Close": 0, "High < Low": 0,
+                      "Low > Open": 0, "Low > Close": 0}
+
+
+def test_summary_equals_describe(spark, dirty):
+    want = dirty.drop(columns="Date").describe(include="all")
+    for row in profile.column_summary(frame(spark, dirty)).collect():
+        column = want[row["column"]]
+        if row["column"] == "Symbol":
+            assert (row["count"], row.unique, row.top, row.freq) == tuple(
+                column[["count", "unique", "top", "freq"]])
+        else:
+            got = [row[c] for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")]
+            names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+            np.testing.assert_allclose(got, column[names].astype(float), rtol=1e-10)
+    dates = profile.date_summary(frame(spark, dirty)).first()
+    described = dirty["Date"].describe()
+    assert dates["count"] == described["count"]
+    assert pd.Timestamp(dates["mean"]) == described["mean"].floor("s")
+    assert pd.Timestamp(dates["p25"]) == described["25%"].floor("s")
+
+
+def test_quantiles_and_symbol_statistics(spark, dirty):
+    df = frame(spark, dirty)
+    got = profile.numeric_quantiles(df).orderBy("probability").toPandas().set_index("probability")
+    want = dirty[list(got.columns)].quantile(list(profile.QUANTILES))
+    np.testing.assert_allclose(got, want, rtol=1e-12)
+    counts = dirty.groupby("Symbol").size()
+    row = profile.rows_per_symbol_stats(df).first()
+    np.testing.assert_allclose(list(row), counts.describe(), rtol=1e-12)
+    assert [tuple(r) for r in profile.short_history_counts(df).collect()] == [
+        (30, (counts < 30).sum()), (40, (counts < 40).sum()), (60, (counts < 60).sum())]
+    spans = dirty.groupby("Symbol")["Date"].agg(lambda d: (d.max() - d.min()).days)
+    np.testing.assert_allclose(
+        list(profile.symbol_span_stats(df).first()), spans.describe(), rtol=1e-12)
+    years = {r.year: r.rows for r in profile.rows_per_year(df).collect()}
+    assert years == dirty["Date"].dt.year.value_counts().to_dict()
+
+
+def test_first_and_last_files_break_ties_by_name(spark):
+    days = {"a": 3, "b": 1, "c": 1, "d": 3}
+    df = spark.createDataFrame(
+        [(s, dt.datetime(2020, 1, d), *[1.0] * 6) for s, d in days.items()], SCHEMA)
+    assert [r.Symbol for r in profile.earliest_symbols(df, 3).collect()] == ["b", "c", "a"]
+    assert [r.Symbol for r in profile.latest_symbols(df, 3).collect()] == ["d", "a", "c"]
+
+
+@pytest.fixture(scope="module")
+def labelled():
+    rng = np.random.default_rng(8)
+    n = 4000
+    return pd.DataFrame({
+        "Symbol": rng.choice(list("abcdefgh"), n), "LogReturn20": rng.standard_t(4, n) * 0.1,
+        "split": rng.choice(["train", "validation", "test"], n, p=[0.7, 0.2, 0.1]),
+    }).query("not (Symbol == 'h' and split == 'train')")
+
+
+def test_label_statistics_equal_pandas(spark, labelled):
+    df = spark.createDataFrame(labelled)
+    by = labelled.groupby("split")["LogReturn20"]
+    for row in labels.label_distribution(df).collect():
+        y = by.get_group(row["split"])
+        want = y.describe(percentiles=[0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])
+        names = ["count", "mean", "std", "min", "p01", "p05", "p25", "p50", "p75", "p95", "p99",
+                 "max"]
+        np.testing.assert_allclose([row[n] for n in names], want, rtol=1e-10)
+    for row in labels.label_moments(df).collect():
+        y = by.get_group(row["split"])
+        assert row.skewness == pytest.approx(y.skew(), rel=1e-9)
+        assert row.kurtosis == pytest.approx(y.kurtosis(), rel=1e-9)
+
+
+def test_binary_balance_tie_is_class_one(spark):
+    df = spark.createDataFrame(
+        [("train", 0.1), ("train", -0.1), ("test", 0.0)], "split string, LogReturn20 double")
+    got = {r["split"]: (r.total, r.positives, r.negatives, r.majority_class)
+           for r in labels.binary_balance(df).collect()}
+    assert got == {"train": (2, 1, 1, 1), "test": (1, 0, 1, 0)}
+
+
+def test_coverage_equals_sets(spark, labelled):
+    df = spark.createDataFrame(labelled)
+    sets = labelled.groupby("split")["Symbol"].agg(set)
+    counts = coverage.symbol_split_counts(df)
+    overlap = coverage.symbol_overlap(counts).first()
+    assert overlap.val_and_train == len(sets["validation"] & sets["train"])
+    assert overlap.val_seen_share == pytest.approx(
+        overlap.val_and_train / len(sets["validation"]))
+    new = {(r["split"], r.Symbol) for r in coverage.new_symbols(counts).collect()}
+    assert new == {(s, x) for s in ("validation", "test") for x in sets[s] - sets["train"]}
+    train = labelled[labelled.split == "train"].groupby("Symbol").size()
+    val = labelled[labelled.split == "validation"]
+    for row in coverage.history_coverage(counts, (1, 300, 10_000)).collect():
+        known = set(train[train >= row.threshold].index)
+        assert row.val_covered == val.Symbol.isin(known).sum()
+        assert row.val_share == pytest.approx(row.val_covered / len(val))
+    assert coverage.rows_seen_in_train(counts).first().val_covered == val.Symbol.isin(
+        set(train.index)).sum()
+    minimums = {"train": 300, "validation": 60, "test": 20}
+    wide = labelled.pivot_table(index="Symbol", columns="split", aggfunc="size", fill_value=0)
+    enough = wide[(wide.train >= 300) & (wide.validation >= 60) & (wide.test >= 20)]
+    eligible = coverage.eligible_symbols(counts, minimums)
+    assert {r.Symbol for r in eligible.collect()} == set(enough.index)
+    assert coverage.eligible_share(counts, minimums).first() == (
+        len(enough), len(wide), pytest.approx(len(enough) / len(wide)))
+    top = coverage.eligible_top(eligible, 3).collect()
+    assert [r.total_rows for r in top] == sorted(enough.sum(axis=1), reverse=True)[:3]
+    best = coverage.top_symbols_by_split(df, 2).where("split = 'test'").orderBy("rank").collect()
+    assert [r.rows for r in best] == sorted(
+        labelled[labelled.split == "test"].groupby("Symbol").size(), reverse=True)[:2]
+
+
+def test_rows_of_an_empty_split_have_no_share(spark):
+    df = spark.createDataFrame([("train", "a"), ("test", "a")], "split string, Symbol string")
+    row = coverage.rows_seen_in_train(coverage.symbol_split_counts(df)).first()
+    assert row.val_rows == 0 and row.val_share is None and row.test_share == 1.0

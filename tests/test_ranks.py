@@ -1,0 +1,77 @@
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from barforge.functions.ranks import area_under_roc, exact_quantiles, quantile_columns, value_bin
+
+PROBABILITIES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.9, 0.999, 1.0)
+
+
+def wild(rng, n):
+    """Values of all sizes and signs, copies, zeros and gaps."""
+    values = rng.normal(0, 1, n) * 10.0 ** rng.integers(-9, 9, n)
+    values[: n // 4] = 3.25
+    values[n // 4: n // 3] = 0.0
+    values[-n // 20:] = np.nan
+    return values
+
+
+@pytest.mark.parametrize("costly", [False, True])
+@pytest.mark.parametrize("n", [1, 2, 7, 2000])
+def test_quantiles_equal_numpy(spark, n, costly):
+    rng = np.random.default_rng(n)
+    pdf = pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, "a", "b"),
+                        "x": wild(rng, n), "y": rng.integers(-3, 3, n) * 1.0})
+    got = exact_quantiles(
+        spark.createDataFrame(pdf), ["x", "y"], PROBABILITIES, ["g"], costly).toPandas()
+    expected = 0
+    for (g, column), part in got.groupby(["g", "column"]):
+        values = pdf.loc[pdf.g == g, column].dropna()
+        part = part.sort_values("probability")
+        assert part["probability"].tolist() == list(PROBABILITIES)
+        np.testing.assert_allclose(
+            part["value"], np.quantile(values, PROBABILITIES), rtol=1e-12, atol=1e-15)
+    for g in set(pdf.g):
+        expected += sum(pdf.loc[pdf.g == g, c].notna().any() for c in ("x", "y"))
+    assert len(got) == expected * len(PROBABILITIES)
+
+
+def test_quantiles_with_infinite_and_huge_values(spark):
+    df = spark.createDataFrame([(v,) for v in (1e308, -1e308, float("inf"), 0.0, 1.0)], "x double")
+    row = quantile_columns(df, "x", {"low": 0.0, "mid": 0.5, "p75": 0.75, "high": 1.0}).first()
+    assert (row.low, row.mid, row.p75, row.high) == (-1e308, 1.0, 1e308, float("inf"))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.floats(allow_nan=False), min_size=2, max_size=200))
+def test_bins_never_decrease(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    pairs = df.select("x", value_bin(F.col("x")).alias("bin")).collect()
+    bins = [r.bin for r in sorted(pairs, key=lambda r: r.x)]
+    assert bins == sorted(bins)
+
+
+def test_auc_equals_the_exact_evaluator(spark):
+    rng = np.random.default_rng(3)
+    n = 3000
+    label = rng.integers(0, 2, n) * 1.0
+    # With ties; the evaluator would take -0.0 and 0.0 for different scores.
+    score = np.round(label * 0.3 + rng.normal(0, 1, n), 2) + 0.0
+    pdf = pd.DataFrame({"split": np.where(np.arange(n) % 2, "test", "validation"),
+                        "label": label, "score": score})
+    df = spark.createDataFrame(pdf)
+    got = {r["split"]: r.auc for r in area_under_roc(df, "score").collect()}
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
+    for split in got:
+        want = evaluator.evaluate(df.where(F.col("split") == split))
+        assert got[split] == pytest.approx(want, rel=1e-12)
+    assert set(got) == {"test", "validation"}
+
+
+def test_auc_of_one_class_is_missing(spark):
+    df = spark.createDataFrame([("test", 1.0, 0.5), ("test", 1.0, 0.7)],
+                               "split string, label double, score double")
+    assert area_under_roc(df, "score").first().auc is None
