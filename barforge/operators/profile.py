@@ -24,6 +24,11 @@ def _rows(names_and_values: dict[str, Column], name: str, value: str) -> Column:
         F.struct(F.lit(n).alias(name), v.alias(value)) for n, v in names_and_values.items())))
 
 
+def _known(name: str) -> Column:
+    """The value, NULL for NaN, which would compare as larger than any number."""
+    return F.nanvl(name, F.lit(None).cast("double"))
+
+
 def table_shape(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type and the table's row count."""
     fields = F.array(*(
@@ -102,12 +107,12 @@ def column_summary(df: DataFrame) -> DataFrame:
     distinct values, most frequent value (tie: smallest) and its frequency of the
     symbol."""
     quartiles = exact_quantiles(df, NUMERIC_COLUMNS, list(QUARTILES.values()))
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in NUMERIC_COLUMNS)).unpivot(
-        [], NUMERIC_COLUMNS, "column", "value").where(~F.isnan("value"))
-    numbers = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.mean("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    # All numbers in one pass; one row is then turned into a row per column.
+    measures = {"count": F.count, "mean": F.mean, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    numbers = df.agg(*(
+        F.struct(F.lit(c).alias("column"), *(
+            measure(_known(c)).alias(name) for name, measure in measures.items())).alias(c)
+        for c in NUMERIC_COLUMNS)).select(F.inline(F.array(*NUMERIC_COLUMNS)))
     symbols = df.where(F.col("Symbol").isNotNull()).groupBy("Symbol").agg(
         F.count(F.lit(1)).alias("n"))
     texts = symbols.agg(
@@ -146,11 +151,6 @@ def _checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     ).select("check", "rows", F.try_divide("rows", "total").alias("share"))
 
 
-def _known(name: str) -> Column:
-    """The value, NULL for NaN, which would compare as larger than any number."""
-    return F.nanvl(name, F.lit(None).cast("double"))
-
-
 def invalid_value_checks(df: DataFrame) -> DataFrame:
     checks = {f"{c} <= 0": _known(c) <= 0 for c in PRICE_COLUMNS}
     checks |= {"Volume < 0": _known("Volume") < 0, "Volume == 0": _known("Volume") == 0}
