@@ -1,7 +1,7 @@
 """Fitting, tuning and scoring of MLlib models.
 
-Vectors are assembled and scaled once and stored by split; every fit then reads
-two columns of that table. Predictions of both later splits are scored together.
+The model frame is stored by split and the scaler fitted once; fits and scores
+read that table. Predictions of both later splits are scored together.
 """
 
 from collections.abc import Callable, Sequence
@@ -9,6 +9,7 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -60,9 +61,13 @@ def standard_scaled(df: DataFrame, features: list[str], keep: list[str]) -> Data
 
 
 def training_table(df: DataFrame, features: list[str], scale: bool) -> DataFrame:
-    """Vectors and labels, stored in the shared folder by split."""
-    vectors = with_vectors(df, features, scale, ["split", "label"])
-    return stored(vectors, "training", partition_by="split")
+    """Vectors and labels over ``df`` stored in the shared folder by split.
+
+    The windows behind ``df`` run once, for the write. Assembling and scaling
+    are part of each scan; fits that iterate keep their input themselves.
+    """
+    frame = stored(df.select("split", "label", *features), "training", partition_by="split")
+    return with_vectors(frame, features, scale, ["split", "label"])
 
 
 # --- grids -----------------------------------------------------------------------
@@ -138,14 +143,14 @@ def _results(spark: SparkSession, name: str, fits: list[Fit], metrics: list[str]
     extra = extra or [{}] * len(fits)
     parameters = list(fits[0].point)
     rows = [
-        (name, i, *(float(fit.point[p]) for p in parameters),
-         *(float(v) if (v := (fit.metrics | more).get(m)) is not None else None
-           for m in metrics))
+        {"model_name": name, "grid_index": i, **fit.point, **fit.metrics, **more}
         for i, (fit, more) in enumerate(zip(fits, extra))
     ]
-    columns = ["model_name string", "grid_index int",
-               *(f"{c} double" for c in [*parameters, *metrics])]
-    return spark.createDataFrame(rows, ", ".join(columns))
+    numbers = [*fits[0].point, *metrics]
+    schema = pa.schema([("model_name", pa.string()), ("grid_index", pa.int32()),
+                        *((c, pa.float64()) for c in numbers)])
+    # A row per grid point. Arrow rows need no Python worker to be read.
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema))
 
 
 def _val_test(names: Sequence[str]) -> list[str]:
@@ -275,6 +280,6 @@ def single_feature_line(df: DataFrame, feature: str) -> DataFrame:
     vectors = VectorAssembler(inputCols=[feature], outputCol="features").transform(
         df.select(feature, "label"))
     model = LinearRegression(solver="normal").fit(vectors)
-    return df.sparkSession.createDataFrame(
-        [(feature, float(model.coefficients[0]), float(model.intercept))],
-        "feature string, slope double, intercept double")
+    return df.sparkSession.createDataFrame(pa.table({
+        "feature": [feature], "slope": [float(model.coefficients[0])],
+        "intercept": [float(model.intercept)]}))

@@ -43,8 +43,8 @@ def classification_job(
     frame = stored(
         add_temporal_split(prepare_classification(bars, min_rows), train_end, val_end),
         "classification", partition_by="split")
-    scaled = models.training_table(frame, FEATURES, scale=True)
-    plain = models.training_table(frame, FEATURES, scale=False)
+    scaled = models.with_vectors(frame, FEATURES, scale=True, keep=["split", "label"])
+    plain = models.with_vectors(frame, FEATURES, scale=False, keep=["split", "label"])
     searches = {
         "LogisticRegression": (models.logistic_grid(scaled), scaled),
         "RandomForestClassifier": (models.rf_classifier_grid(plain), plain),
@@ -67,13 +67,13 @@ def regression_job(
     frame = stored(
         add_temporal_split(prepare_regression(bars, min_rows), train_end, val_end),
         "regression", partition_by="split")
-    scaled = models.training_table(frame, FEATURES, scale=True)
+    scaled = models.with_vectors(frame, FEATURES, scale=True, keep=["split", "label"])
     searches = {
         "LinearRegression": models.linear_regression_grid(scaled),
         "GeneralizedLinearRegression": models.glr_grid(scaled),
     }
     if forest:
-        plain = models.training_table(frame, FEATURES, scale=False)
+        plain = models.with_vectors(frame, FEATURES, scale=False, keep=["split", "label"])
         searches["RandomForestRegressor"] = models.rf_regressor_grid(plain)
     results = [zero_baseline(frame), *(s.results for s in searches.values())]
     board, path = _write(results, REGRESSION_ORDER, output_dir, "regression_results")

@@ -1,5 +1,6 @@
 """Which files of a folder hold usable bars, from names and text lines."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barforge.sources.files import file_name_of, file_path
@@ -15,7 +16,7 @@ def file_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     lines = spark.read.text(f"{data_dir}/*.txt")
     # Files without bytes give no lines; their names come from the file listing
     # that the scan has made already.
-    names = spark.createDataFrame([(f,) for f in lines.inputFiles()], "path string")
+    names = spark.createDataFrame(pa.table({"path": pa.array(lines.inputFiles(), pa.string())}))
     files = names.select(file_name_of(file_path("path")).alias("file")).distinct()
 
     fields = F.size(F.split("value", ","))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec, functions a
 from barforge import constants as K
 from barforge.functions.history import over_history
 from barforge.functions.ranks import area_under_roc
-from barforge.functions.storage import scratch_path
+from barforge.functions.storage import scratch_path, stored
 from barforge.operators import (
     clean, coverage, evaluate, features, labels, models, prepare, profile, report, split, targets,
 )
@@ -230,12 +230,13 @@ def regressor(search: Callable, scale: bool) -> Query:
 def cross_validated(search: Callable) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepared = split.add_fold(split.add_hash_split(legacy(spark, sf_dir)), K.FOLDS)
-        return search(models.stored(prepared, "folds"), K.LEGACY_FEATURES).results
+        return search(stored(prepared, "folds"), K.LEGACY_FEATURES).results
     return query
 
 
 def standard_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = by_date(classification)(spark, sf_dir)
+    # Read twice, to fit and to scale: stored so that the windows run once.
+    prepared = stored(by_date(classification)(spark, sf_dir), "prepared")
     return comparable(models.standard_scaled(
         prepared, K.FEATURES, ["Symbol", "Date", "split"]))
 
