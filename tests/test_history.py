@@ -93,10 +93,10 @@ def test_prepared_frame_is_complete_and_independent_of_blocks(spark, pdf):
     assert "tiny" not in set(a.Symbol)
 
 
-def test_one_shuffle_for_all_features(spark, pdf):
-    path_free = frame(spark, pdf)
-    plan = prepare.prepare_regression(path_free)._jdf.queryExecution().executedPlan().toString()
+def test_one_shuffle_and_sort_for_all_features(spark, pdf):
+    plan = prepare.prepare_regression(frame(spark, pdf))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("+- Sort") == 1 and plan.count("+- Window") == 2
 
 
 def test_target_edges(spark):
