@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barforge.llm import secrets
+from barforge.llm import secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and the component that its links reach."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=3)
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets per document: counts per known kind, digest of those spans, all spans."""
     def count(kind: str) -> Column:
@@ -33,6 +40,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op7_secrets": op7_secrets,
 }
 ORACLES: dict[str, str] = {}
