@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barforge.llm import secrets, simhash
+from barforge.llm import mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mixture of all documents takes of each."""
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
+    return plan.withColumn("taken", F.col("size") * F.col("copies"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document, and the component that its links reach."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=3)
@@ -40,6 +46,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op7_secrets": op7_secrets,
 }
