@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barforge.llm import mixing, secrets, simhash
+from barforge.functions.storage import stored
+from barforge.llm import mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,9 +46,21 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels of those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    stats = stored(docs.select("doc_id", quality.text_statistics(F.col("text")).alias("stats")), "statistics")
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out())
+    model = quality.fit_quality(stats, labels)
+    return stats.select(
+        "doc_id", quality.held_out().alias("held_out"), model.score(F.col("stats")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op7_secrets": op7_secrets,
+    "op8_quality": op8_quality,
 }
 ORACLES: dict[str, str] = {}
