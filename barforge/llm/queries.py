@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import mixing, quality, secrets, simhash
+from barforge.llm import decontaminate, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents: five-word shingles, similarity of 0.8 or more."""
+    found = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, similarity=0.8)
+    return found.select("doc_id", "item_id", "part", "start", "length", "bits", "similarity")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets per document: counts per known kind, digest of those spans, all spans."""
     def count(kind: str) -> Column:
@@ -60,6 +67,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
 }
