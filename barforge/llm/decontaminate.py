@@ -47,14 +47,19 @@ def _hash_at(words: str, i: str, width: int) -> str:
     return f"xxhash64({', '.join(f'get({words}, {i} + {j})' for j in range(width))})"
 
 
-def _shingle_hashes(words: str, width: int) -> Column:
-    return F.expr(f"transform(sequence(0, size({words}) - {width}), i -> {_hash_at(words, 'i', width)})")
+def _shingle_hashes(words: str, width: int) -> str:
+    return f"transform(sequence(0, size({words}) - {width}), i -> {_hash_at(words, 'i', width)})"
+
+
+def _let(name: str, value: str, body: str) -> Column:
+    """``body`` with ``name`` bound to ``value``, which is computed once a row wherever it is moved to."""
+    return F.expr(f"transform(array({value}), {name} -> {body})[0]")
 
 
 def _fingerprint(hashes: str) -> Column:
     """Majority of each bit over an array of hashes."""
-    return F.expr(f"""aggregate(sequence(0, 63), 0L, (fp, b) -> fp | shiftleft(cast(
-        2 * size(filter({hashes}, h -> (shiftright(h, b) & 1L) = 1L)) > size({hashes}) as bigint), b))""")
+    return _let("own", hashes, """aggregate(sequence(0, 63), 0L, (fp, b) -> fp | shiftleft(cast(
+        2 * size(filter(own, h -> (shiftright(h, b) & 1L) = 1L)) > size(own) as bigint), b))""")
 
 
 def _blocks(fp: str) -> str:
@@ -66,16 +71,18 @@ def _near_values(flips: int) -> list[int]:
     return [v for v in range(2 ** BLOCK_BITS) if v.bit_count() <= flips]
 
 
-def _multiset_similarity(a: str, b: str) -> Column:
-    both = f"""aggregate(array_distinct({a}), 0, (n, s) -> n + least(
-        size(filter({a}, x -> x = s)), size(filter({b}, x -> x = s))))"""
-    return F.expr(f"cast({both} as double) / (size({a}) + size({b}) - {both})")
-
-
 def _shingles(words: str, width: int) -> str:
     return f"transform(sequence(1, size({words}) - {width - 1}), i -> array_join(slice({words}, i, {width}), ' '))"
 
 
+def _similarity(a: str, b: str, width: int) -> Column:
+    """Sum of smaller counts of the shingles of two word arrays over the sum of larger counts."""
+    both = """aggregate(array_distinct(p.a), 0, (n, s) -> n + least(
+        size(filter(p.a, x -> x = s)), size(filter(p.b, x -> x = s))))"""
+    shared = f"transform(array({both}), n -> cast(n as double) / (size(p.a) + size(p.b) - n))[0]"
+    return _let("p", f"named_struct('a', {_shingles(a, width)}, 'b', {_shingles(b, width)})", shared)
+
+
 def benchmark_parts(benchmark: DataFrame, *, item: str = "item_id", text: str = "text", width: int = 5,
                     max_item_words: int = 128) -> DataFrame:
     """(item, part, length, words, hashes, fp, part_key) of every searched part of an item."""
@@ -86,7 +93,7 @@ def benchmark_parts(benchmark: DataFrame, *, item: str = "item_id", text: str =
     cut = parts.select(item, "part", F.expr(
         "slice(all, cast(part * size(all) div parts as int) + 1,"
         " cast((part + 1) * size(all) div parts as int) - cast(part * size(all) div parts as int))").alias("words"))
-    hashed = cut.distinct().withColumn("hashes", _shingle_hashes("words", width))
+    hashed = cut.distinct().withColumn("hashes", F.expr(_shingle_hashes("words", width)))
     return hashed.select(
         item, "part", F.size("words").alias("length"), "words", "hashes", _fingerprint("hashes").alias("fp"),
         F.xxhash64(item, "part", "words").alias("part_key"))
@@ -94,7 +101,7 @@ def benchmark_parts(benchmark: DataFrame, *, item: str = "item_id", text: str =
 
 def _windows(docs: DataFrame, anchors: list[int], postings: DataFrame, longest: int, id: str, text: str,
              width: int) -> DataFrame:
-    """(id, text_key, start, length, window) around the places of some anchors."""
+    """(id, text_key, start, length, words) around the places of some anchors."""
     placed = f"""transform(
         filter(if(size(w) >= {width}, sequence(0, size(w) - {width}), cast(array() as array<int>)),
                i -> {_hash_at('w', 'i', width)} in ({', '.join(map(str, anchors))})),
@@ -109,8 +116,8 @@ def _windows(docs: DataFrame, anchors: list[int], postings: DataFrame, longest:
     return (
         seeds.join(postings, "hash").withColumn("start", F.expr("pos - at"))
         .select(id, "text_key", "start", "length", F.expr(
-            "array_join(slice(near, greatest(start, 0) - first + 1, length + least(start, 0)), ' ')").alias("window"))
-        .distinct()
+            "slice(near, greatest(start, 0) - first + 1, length + least(start, 0))").alias("words"))
+        .where(F.size("words") >= width).distinct()
     )
 
 
@@ -139,11 +146,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", tex
     windows = reduce(DataFrame.unionByName, (
         _windows(docs, anchors[i:i + ANCHORS_AT_ONCE], postings, size.longest or 1, id, text, width)
         for i in range(0, len(anchors), ANCHORS_AT_ONCE)))
-    marked = (
-        windows.withColumn("words", F.split("window", " ")).where(F.size("words") >= width)
-        .withColumn("hashes", _shingle_hashes("words", width))
-        .withColumn("fp", _fingerprint("hashes")).drop("hashes")
-    )
+    marked = windows.withColumn("fp", _fingerprint(_shingle_hashes("words", width)))
     flips = radius // BLOCKS
     index = (
         parts.select("length", "part_key", F.col("fp").alias("item_fp"), F.posexplode(F.expr(_blocks("fp"))).alias("block", "own"))
@@ -151,7 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", tex
             f"transform(array({', '.join(map(str, _near_values(flips)))}), m -> own ^ m)")).alias("value"))
     )
     near = (
-        marked.select("*", F.posexplode(F.expr(_blocks("fp"))).alias("block", "value"))
+        marked.select("*", F.posexplode_outer(F.expr(_blocks("fp"))).alias("block", "value"))
         .join(_checked(index, size.n * BLOCKS * len(_near_values(flips))), ["length", "block", "value"])
         .withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("bits") <= radius)
         # A pair may meet in several blocks: the first that is near enough speaks for it.
@@ -162,8 +165,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", tex
     compared = (
         near.select(id, "text_key", "start", "length", "bits", "words", "part_key")
         .join(_checked(told, size.n), "part_key")
-        .withColumn("a", F.expr(_shingles("words", width))).withColumn("b", F.expr(_shingles("item_words", width)))
-        .withColumn("similarity", _multiset_similarity("a", "b")).where(F.col("similarity") >= similarity)
+        .withColumn("similarity", _similarity("words", "item_words", width)).where(F.col("similarity") >= similarity)
     )
     best = F.max_by(F.struct("start", "length", "bits", "similarity"), F.struct("similarity", -F.col("start")))
     return (compared.groupBy(id, "text_key", item, "part").agg(best.alias("best"))
