@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, mixing, quality, secrets, simhash
+from barforge.llm import decontaminate, licenses, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,11 +64,28 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document: places of the base phrases, labels, score."""
+    def labels(places: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs)
+    base = F.filter("licenses", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"].cast("bigint"))
+    return found.select("doc_id", "n_words", "licenses", base.alias("base"), starts.alias("starts")).select(
+        "doc_id", "n_words", F.size("starts").cast("bigint").alias("n_base"),
+        F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
+        labels(F.col("base")).alias("base_labels"), labels(F.col("licenses")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda p: p["score"])), F.lit(0.0)).alias("score"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
+    "op9_licenses": op9_licenses,
 }
 ORACLES: dict[str, str] = {}
