@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, licenses, mixing, quality, secrets, simhash
+from barforge.llm import decontaminate, licenses, mixing, quality, secrets, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,13 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("licenses", lambda p: p["score"])), F.lit(0.0)).alias("score"))
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(
+        pages, block=("net/", "example.com/de/"), allow=("example.net/en/", "org/fr/")).drop("url")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -87,5 +94,6 @@ QUERIES: dict[str, Query] = {
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
+    "op10_urls": op10_urls,
 }
 ORACLES: dict[str, str] = {}
