@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, licenses, mixing, quality, secrets, simhash, urls
+from barforge.llm import decontaminate, html, licenses, mixing, quality, secrets, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "part", "start", "length", "bits", "similarity")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_text(pages).drop("html").withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets per document: counts per known kind, digest of those spans, all spans."""
     def count(kind: str) -> Column:
@@ -91,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op6_html": op6_html,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,

@@ -1,0 +1,79 @@
+import html as entities
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from barforge.llm import html as H
+
+PROSE = "The house of the miller was on the hill and it was the last of the houses that he had built for them, so far as we know."
+FEW = "Garden stones river clouds paper windows tables bottles letters engines bridges mountains valleys forests meadows."
+
+
+def page(body, head="<title>Top</title>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+def test_article_without_what_surrounds_it():
+    got = H.main_text(page(
+        "<header><h1>Site</h1></header><nav><ul><li><a href='/a'>Home</a></li></ul></nav><div class='ad'>" + PROSE + "</div>"
+        "<div id='cookie-banner'>We use cookies</div><aside><p>" + PROSE + "</p></aside>"
+        "<article><header><h1>A &amp; B&nbsp;title</h1></header><p><b>Lead\n  text<br>on&#33;<br><p>" + PROSE +
+        "<p>To.</p><script>var t='</p>' + \"<p>no</p>\";</script><p>" + FEW + "</p><div class='share-buttons'>Share</div>"
+        "<ul><li><a href='/r'>Related link one</a></li></ul><p>End. <span class=\"ad\">Buy</span> Now.</p><!-- <p>x</p> -->"
+        "<form><label>Mail</label><input value='x'><button>Go</button></form></article>"
+        "<section class='comments'><article><p>" + PROSE + "</p></article></section><footer>&copy; " + PROSE + "</footer>"))
+    assert got == "\n".join(["A & B title", "Lead text on!", PROSE, "To.", FEW, "End. Now."])
+
+
+def test_pages_without_an_article_go_by_density_and_neighbours():
+    links = "".join(f"<li><a href='{i}'>link number {i}</a></li>" for i in range(8))
+    got = H.main_text(page(f"<div><ul>{links}</ul><p>Skip</p></div><div><h2>News</h2><p>{PROSE}</p><p>Short one.</p><p>{PROSE}</p></div>"
+                           f"<div><p>Terms</p><ul>{links}</ul></div>"))
+    # "Skip" stands nearer to links, "Terms" as near to links as to text.
+    assert got == "\n".join(["News", PROSE, "Short one.", PROSE, "Terms"])
+    assert H.main_text("<p>Hi.") == "Hi." and H.main_text("just text &lt; here") == "just text < here"
+
+
+def test_blocks_carry_their_labels():
+    blocks = H.classify(H.page_blocks(f"<nav>a</nav><main><p>{PROSE}</p><p>b</p></main>"))
+    assert [(b.text, b.good) for b in blocks] == [("a", False), (PROSE, True), ("b", True)]
+
+
+@pytest.mark.parametrize("raw", [
+    None, "", "   ", "<", "<p", "<a href=\"x", "</div></p>", "<script>never closed", "<!-- open", "<div class=\"ad>x</div>",
+    "<style>p{}</style>", "&#0; &bogus; &amp", "<p>" * 2000, "<div>" * 3000 + "x", "<p " + "a" * 50_000 + ">x",
+    "<nav><article>x", "<!DOCTYPE>", "<a '" * 500, "a<b>c</b><i", "<br>" * 5000,
+])
+def test_any_markup_is_tolerated(raw):
+    assert isinstance(H.main_text(raw), str)
+
+
+def test_long_pages_are_read_whole():
+    body = "".join(f"<p>{PROSE} {i}</p>" for i in range(5000))
+    assert H.main_text(page(f"<article>{body}</article>")).count("\n") == 4999
+
+
+def test_rows_and_clashing_names(spark):
+    rows = [(1, "<article><p>a", "old"), (None, None, "old"), (2, "", None), (2, "", None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, text string")
+    got = H.extract_text(pages).collect()
+    assert [(r.page_id, r.text) for r in got] == [(1, "a"), (None, ""), (2, ""), (2, "")]
+    assert H.extract_text(pages.limit(0)).count() == 0
+    assert [len(r.blocks) for r in H.extract_blocks(pages).collect()] == [1, 0, 0, 0]
+
+
+def test_query_gives_the_article_of_every_page(spark):
+    """The pages' articles, cut by tags in another way."""
+    from barforge.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    raw = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    got = QUERIES["op6_html"](spark, folder).collect()
+    assert sorted(r.page_id for r in got) == sorted(raw)
+    for r in got:
+        article = re.search(r"<article>(.*?)(</article>|$)", raw[r.page_id], re.S)[1]
+        blocks = [" ".join(entities.unescape(re.sub(r"<(/?b|br)>", lambda m: " " if m[1] == "br" else "", b)).split())
+                  for b in re.split(r"</?(?:p|h1)>", article)]
+        assert r.text == "\n".join(b for b in blocks if b), r.page_id
+        assert r.n_chars == len(r.text)
