@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, html, licenses, mixing, quality, secrets, simhash, urls
+from barforge.llm import decontaminate, html, licenses, mixing, pii, quality, secrets, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "part", "start", "length", "bits", "similarity")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and where it stood in the old text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymise(docs, key="of the registered query")
+    return found.select(
+        "doc_id", "text", F.size("personal").cast("bigint").alias("n_found"),
+        F.array_join(F.transform("personal", lambda p: F.concat_ws(":", p.kind, p.start, p.end)), ",").alias("spans"))
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -97,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op5_pii": op5_pii,
     "op6_html": op6_html,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
