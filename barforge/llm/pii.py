@@ -225,9 +225,10 @@ def _mail(key: bytes, found: str) -> str | None:
 KINDS: tuple[tuple[str, re.Pattern[str], Callable[[bytes, str], str | None]], ...] = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![A-Za-z0-9-])"), _mail),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), _iban),
-    ("card", re.compile(r"(?<![A-Za-z0-9+-])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9]|-\d)"), _card),
+    ("card", re.compile(
+        r"(?<![A-Za-z0-9+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![A-Za-z0-9]|-\d)"), _card),
     ("phone", re.compile(
-        r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|"
+        r"(?<![\w.+-])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|"
         r"\d{3}([ .-])\d{3}\1\d{4})(?![\w-])"), _phone),
     ("social", re.compile(r"(?<![\w-])\d{3}([- ])\d{2}\1\d{4}(?![\w-])"), _social),
     ("address", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"), _address),
@@ -254,8 +255,13 @@ def find_personal(text: str | None, key: bytes) -> list[Found]:
             start, end = match.span()
             if any(start < e and s < end for _, s, e, _ in found):
                 continue
-            if (new := _pseudonym(number, key, match[0])) is not None:
-                found.append((kind, start, end, new))
+            value = match[0]
+            new = _pseudonym(number, key, value)
+            while new is None and kind == "iban" and " " in value:  # the last groups may be words
+                value = value.rsplit(" ", 1)[0]
+                new = _pseudonym(number, key, value)
+            if new is not None:
+                found.append((kind, start, start + len(value), new))
     return sorted(found, key=lambda f: f[1])
 
 

@@ -69,6 +69,13 @@ def test_equal_values_stay_linked_whatever_their_separators():
         assert P.find_personal(f"{d}.{m}.{y}", KEY)[0][3].split(".") == new[::-1]
 
 
+def test_neighbours_do_not_hide_a_value():
+    text = "4451718024887799 27.65.93.188 +1 (863) 555-9426 27.65.93.188 DE89 3704 0044 0532 0130 00 WORD 4111 1111 1111 1111 27"
+    got = [(k, text[s:e]) for k, s, e, _ in P.find_personal(text, KEY)]
+    assert got == [("card", "4451718024887799"), ("address", "27.65.93.188"), ("phone", "+1 (863) 555-9426"), ("address", "27.65.93.188"),
+                   ("iban", "DE89 3704 0044 0532 0130 00"), ("card", "4111 1111 1111 1111")]
+
+
 def test_rows_and_clashing_names(spark):
     long = "word " * 60_000 + "4111111111111111"
     rows = [(1, "a 4111111111111111 b +1 (855) 555-4972", "x"), (None, None, None), (2, "", "x"), (3, "none here", None),
