@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from barforge.functions.storage import stored
@@ -212,6 +212,14 @@ def near_links(fingerprints: DataFrame, max_bits: int = 3, chunk_rows: int = 204
     return blocks.mapInArrow(_link_blocks(pivots), "a bigint, b bigint")
 
 
+def _components(fingerprints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component) of every distinct fingerprint."""
+    distinct = fingerprints.select("fp").distinct()
+    labels = component_labels(near_links(distinct, max_bits))
+    return distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
                     width: int = 3, max_bits: int = 3) -> DataFrame:
     """(id, fp, component_id) per row: fingerprint, smallest id reachable over links.
@@ -221,11 +229,31 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     Other columns of ``docs`` are not read.
     """
     marked = stored(docs.select(F.col(id).alias(id), simhash(F.col(text), width).alias("fp")), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min(id).alias("least_id"))
-    labels = component_labels(near_links(classes, max_bits))
-    classes = stored(
-        classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "least_id", F.coalesce("component", "fp").alias("component")), "classes")
-    least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return marked.join(classes.join(least, "component").select("fp", "component_id"), "fp").select(
+    least = marked.groupBy("fp").agg(F.min(id).alias("least_id"))
+    classes = stored(_components(marked, max_bits).join(least, "fp"), "classes")
+    named = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return marked.join(classes.join(named, "component").select("fp", "component_id"), "fp").select(
         id, "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
+                         width: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns.
+
+    The row with the smallest id stays (a null id goes after all others), between equal
+    ids the one with the smaller hash of its text; of repeated rows one stays.
+    """
+    key = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.xxhash64(text).alias("text_key"))
+    marked = stored(docs.select(key.alias("key"), simhash(F.col(text), width).alias("fp")), "fingerprints")
+    least = marked.groupBy("fp").agg(F.min("key").alias("key"))
+    kept = _components(marked, max_bits).join(least, "fp").groupBy("component").agg(F.min("key").alias("key"))
+    # Plain equality of columns that are never null: the join's partitioning serves the window, too.
+    kept = kept.select(F.col("key.no_id").alias("__no_id"), F.coalesce(F.col("key.id").cast("string"), F.lit("")).alias("__id"),
+                       F.col("key.text_key").alias("__text_key"))
+    names = docs.columns
+    keyed = docs.select(
+        "*", F.col(id).isNull().alias("__no_id"), F.coalesce(F.col(id).cast("string"), F.lit("")).alias("__id"),
+        F.xxhash64(text).alias("__text_key"))
+    on = ["__no_id", "__id", "__text_key"]
+    repeat = F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(1)))
+    return keyed.join(kept, on, "left_semi").withColumn("__repeat", repeat).where("__repeat = 1").select(*names)

@@ -90,7 +90,30 @@ def test_components_equal_all_pairs(spark, chunk_rows, monkeypatch):
     assert len({r.component_id for r in got}) < len({r.fp for r in got})
 
 
+def test_one_row_of_each_component_stays(spark):
+    rows = _texts(random.Random(9), groups=8) + [(900, None), (901, ""), (None, " "), (None, "alone here"), (None, "alone here"), (7, "w1 w2"),
+                                                 (7, "w1 w2"), (7, "other words of the same id")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fp string")
+    fps = [(i, slow_fingerprint(t)) for i, t in rows]
+    numbered = [(k if i is None else i, f) for k, (i, f) in enumerate(fps, 10_000)]
+    labels = [None] * len(rows)
+    for k, (_, f) in enumerate(fps):
+        near = [j for j in range(k) if bin(fps[j][1] ^ f).count("1") <= 3]
+        labels[k] = k
+        for j in near:
+            labels = [labels[k] if x == labels[j] else x for x in labels]
+    want = []
+    for c in set(labels):
+        own = [rows[k] for k in range(len(rows)) if labels[k] == c]
+        want.append(min((i is None, i or 0) for i, _ in own))
+    got = S.drop_near_duplicates(docs)
+    assert got.columns == ["doc_id", "text", "fp"]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == sorted(want)
+    assert len(want) < len({f for _, f in numbered})
+
+
 def test_empty_table(spark):
+    assert S.drop_near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert S.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
