@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, html, licenses, mixing, pii, quality, secrets, simhash, urls
+from barforge.llm import decontaminate, html, licenses, mixing, neighbours, pii, quality, secrets, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "part", "start", "length", "bits", "similarity")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth id, among all."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    graph = neighbours.build_graph(vectors)
+    return neighbours.search(graph, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced, and where it stood in the old text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op4_neighbours": op4_neighbours,
     "op5_pii": op5_pii,
     "op6_html": op6_html,
     "op7_secrets": op7_secrets,
