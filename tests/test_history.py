@@ -71,6 +71,40 @@ def test_short_histories_are_dropped(spark, pdf, max_rows):
     assert counts == {"long": 400, "middle": 130}
 
 
+def _numbered(spark, n, per_day, symbol="'s'", date="cast(date_add(date'2020-01-01', int(id div {per_day})) as timestamp_ntz)"):
+    return spark.range(n, numPartitions=3).selectExpr(
+        f"{symbol} AS Symbol", f"{date.format(per_day=per_day)} AS Date", "double(hash(id)) AS Close", "id")
+
+
+@pytest.mark.parametrize("case", [
+    dict(n=5000, per_day=2), dict(n=5000, per_day=50), dict(n=2000, per_day=1, date="cast(null as timestamp_ntz)"),
+    dict(n=1500, per_day=1500), dict(n=600, per_day=3, symbol="string(null)"),
+    dict(n=900, per_day=4, symbol="nullif(concat('s', id % 3), 's1')"),
+])
+def test_blocks_keep_every_row_once_and_in_one_order(spark, case):
+    """Rows that differ only beside the date: none is lost, doubled or out of order."""
+    df = _numbered(spark, **case)
+    add = lambda d, w: d.withColumns({
+        "before": F.lag("id", 3).over(w), "after": F.lead("id", 2).over(w)})
+    whole = over_history(df, add, back=3, ahead=2)
+    cut = over_history(df, add, back=3, ahead=2, max_rows=101)
+    assert cut.select("id").distinct().count() == cut.count() == case["n"]
+    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+
+
+def test_a_long_day_is_dealt_out(spark):
+    """No block gets more than its rows and those its windows look at."""
+    sizes = []
+
+    def add(d, w):
+        sizes.extend(r["count"] for r in d.groupBy("block").count().collect() if "block" in d.columns)
+        return d
+
+    df = _numbered(spark, 4000, 4000)
+    over_history(df, lambda d, w: add(d, w) if "block" in d.columns else d, back=10, ahead=5, max_rows=100).count()
+    assert len(sizes) == 40 and max(sizes) <= 100 + 10 + 5 and sum(sizes) <= 4000 + 40 * 15
+
+
 def test_rows_without_a_date_and_copies_survive_blocks(spark, pdf):
     odd = pd.concat([pdf, pdf[pdf.Symbol == "long"].iloc[:30]])
     odd.loc[odd.Symbol == "middle", "Date"] = pd.NaT
