@@ -1,17 +1,37 @@
-"""The exploratory reports as named frames; nothing runs until one is read."""
+"""The exploratory jobs: load what is usable, and reports as named frames.
 
-from pyspark.sql import DataFrame
+Profile reports run when they are read. The load and the split reports first store
+the frame that they all rest on.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
 
 from barforge.constants import MIN_ROWS, TRAIN_END, VAL_END
 from barforge.functions.storage import stored
 from barforge.operators import coverage, labels, profile
 from barforge.operators.prepare import labelled_bars
 from barforge.operators.split import add_temporal_split
+from barforge.sources.audit import file_audit, incoherent_files, load_coherent_bars
+from barforge.sources.results import write_names, write_table
 
 # --- fixed values: rows a symbol needs in each split to be a model input -----------
 SYMBOL_FEATURE_ROWS = {"train": 252, "validation": 60, "test": 60}
 
 
+def load_and_report(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
+    """Bars of the usable files; the names of the others go to ``incoherent_files``."""
+    audit = stored(file_audit(spark, data_dir), "audit")
+    write_names(incoherent_files(audit), f"{output_dir}/incoherent_files")
+    return load_coherent_bars(spark, data_dir, audit)
+
+
+def write_eligible(reports: dict[str, DataFrame], output_dir: str) -> str:
+    """Write the symbols that ``split_reports`` found eligible; returns the folder."""
+    path = f"{output_dir}/eligible_symbols"
+    write_table(reports["eligible"], path)
+    return path
+
+
 def profile_reports(bars: DataFrame) -> dict[str, DataFrame]:
     """Reports on the bars as they were loaded."""
     return {

@@ -3,7 +3,11 @@
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barforge.sources.files import file_name_of, file_path
+from barforge.functions.history import lookup
+from barforge.functions.storage import stored
+from barforge.sources.files import (
+    coerce_numeric, file_name_of, file_path, parse_dates, text_rows,
+)
 
 
 def file_audit(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -14,8 +18,9 @@ def file_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     than the header. ``ok``: the rest.
     """
     lines = spark.read.text(f"{data_dir}/*.txt")
-    # Files without bytes give no lines; their names come from the file listing
-    # that the scan has made already.
+    # No scan has rows of files without bytes; their names come from the listing that the
+    # scan's planning has made on the driver. It holds one path per file, that is, per
+    # symbol or part of a symbol, and no content: this is its bound.
     names = spark.createDataFrame(pa.table({"path": pa.array(lines.inputFiles(), pa.string())}))
     files = names.select(file_name_of(file_path("path")).alias("file")).distinct()
 
@@ -47,3 +52,16 @@ def file_audit(spark: SparkSession, data_dir: str) -> DataFrame:
 def incoherent_files(audit: DataFrame) -> DataFrame:
     """Names of the files left out for their content, as the report lists them."""
     return audit.where(F.col("status").isin("incoherent", "unreadable")).select("file")
+
+
+def load_coherent_bars(spark: SparkSession, data_dir: str, audit: DataFrame | None = None) -> DataFrame:
+    """Bars of the files whose audit is ``ok``, with the ``file`` of each row.
+
+    Empty, unreadable and incoherent files are left out whole: their columns may
+    stand in another order. Of the rest, what is no date or number is NULL.
+    ``audit`` may hand over an audit made before.
+    """
+    audited = stored(file_audit(spark, data_dir), "audit") if audit is None else audit
+    usable = audited.where("status = 'ok'").select("file")
+    rows = text_rows(spark, data_dir).join(lookup(usable), "file", "left_semi")
+    return coerce_numeric(parse_dates(rows))

@@ -14,7 +14,8 @@ from barforge.operators.clean import drop_null_prices
 # An optional folder of part files follows the name; "file=" is its partition key.
 FILE_PATTERN = r"(?:^|/)(?:file=)?([^/]+\.txt)(?:/[^/]+)?$"
 PARTITION_PATTERN = r"(?:^|/)file=[^/]+/[^/]+$"
-SYMBOL_PATTERN = r"(?:^|/)(?:file=)?([^/]+)\.us\.txt(?:/[^/]+)?$"
+# Possessive: "file=" is never part of a symbol.
+SYMBOL_PATTERN = r"(?:^|/)(?:file=)?+([^/]+)\.us\.txt(?:/[^/]+)?$"
 
 
 def _decoded(text: Column) -> Column:
@@ -61,26 +62,39 @@ def load_stock_data(spark: SparkSession, data_dir: str) -> DataFrame:
     return parse_dates(drop_null_prices(named))
 
 
+def text_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Every column read as text, with the ``file`` and Symbol of each row."""
+    text = StructType([StructField(f.name, StringType()) for f in RAW_SCHEMA.fields])
+    rows = spark.read.schema(text).option("header", True).csv(f"{data_dir}/*.txt")
+    return rows.select(*text.fieldNames(), file_name_of(file_path()).alias("file"),
+                       symbol_of(file_path()).alias("Symbol"))
+
+
 def load_text_bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """The lenient form: every column read as text, then dates and numbers
     converted where they can be."""
-    text = StructType([StructField(f.name, StringType()) for f in RAW_SCHEMA.fields])
-    rows = spark.read.schema(text).option("header", True).csv(f"{data_dir}/*.txt")
-    return coerce_numeric(parse_dates(rows.withColumn("Symbol", symbol_of(file_path()))))
+    return coerce_numeric(parse_dates(text_rows(spark, data_dir).drop("file")))
 
 
-def write_symbol_files(bars: DataFrame, data_dir: str, columns: list[str] | None = None) -> None:
+def write_symbol_files(bars: DataFrame, data_dir: str, columns: list[str] | None = None,
+                       mode: str = "error") -> None:
     """Write bars as one ``<symbol>.us.txt`` per symbol.
 
-    The rebalance hint gathers each symbol's rows into few tasks and splits the
-    symbols that are too large for one.
+    Fails on a missing or empty symbol, which no file can be named after, and by
+    default where the folder exists; ``mode`` may be "overwrite" or "append". Dates at
+    midnight are written as days, others with their time. The rebalance hint gathers
+    each symbol's rows into few tasks and splits the symbols that are too large for one.
     """
     columns = columns or RAW_SCHEMA.fieldNames()
+    nameless = F.col("Symbol").isNull() | (F.trim("Symbol") == "")
+    day = F.date_trunc("day", "Date") == F.col("Date")
     text = bars.withColumns({
-        "file": F.concat("Symbol", F.lit(SYMBOL_FILE_SUFFIX)),
-        "Date": F.date_format("Date", "yyyy-MM-dd"),
+        "file": F.when(nameless, F.raise_error(F.lit("a bar has no symbol to name its file after")))
+        .otherwise(F.concat("Symbol", F.lit(SYMBOL_FILE_SUFFIX))),
+        "Date": F.when(day, F.date_format("Date", "yyyy-MM-dd")).otherwise(
+            F.date_format("Date", "yyyy-MM-dd HH:mm:ss.SSSSSS")),
     }).select(*columns, "file")
-    text.hint("rebalance", "file").write.mode("append").option("header", True).partitionBy(
+    text.hint("rebalance", "file").write.mode(mode).option("header", True).partitionBy(
         "file").csv(data_dir)
 
 

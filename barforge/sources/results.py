@@ -1,5 +1,6 @@
 """Result and report files."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,10 @@ def write_results(results: DataFrame, output_dir: str, name: str = "results") ->
     """Write a leaderboard, as CSV in its order and as typed Parquet beside it.
 
     Results hold a row per grid point, so one file each is right. Returns the
-    folder, named by the time.
+    folder, named by the time and a random part, so that two jobs never share one.
     """
     stamp = datetime.now().strftime("%Y%m%d_%H%M%S")
-    path = f"{output_dir}/{name}_{stamp}"
+    path = f"{output_dir}/{name}_{stamp}_{uuid.uuid4().hex[:8]}"
     results.coalesce(1).write.parquet(f"{path}/parquet")
     typed = results.sparkSession.read.parquet(f"{path}/parquet")
     typed.write.option("header", True).csv(f"{path}/csv")
@@ -33,3 +34,8 @@ def write_table(table: DataFrame, path: str) -> None:
 def write_names(names: DataFrame, path: str) -> None:
     """Write a one-column frame as lines of text."""
     names.write.text(path)
+
+
+def read_names(spark: SparkSession, path: str, column: str = "file") -> DataFrame:
+    """What ``write_names`` wrote."""
+    return spark.read.text(path).withColumnRenamed("value", column)

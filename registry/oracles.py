@@ -134,8 +134,8 @@ LEGACY_FRAME = f"""SELECT "Symbol", "Date", {", ".join(map(q, LEGACY))}, "LogRet
 FROM ({ALL}) p WHERE {_complete(["LogReturn20", *LEGACY])}"""
 
 
-def columns(names: list[str], source: str = ALL, nudge: float = 0.0) -> str:
-    rounded = ", ".join(r(f"{q(n)} + {nudge}::DOUBLE", n) for n in names)
+def columns(names: list[str], source: str = ALL, digits: int = 6) -> str:
+    rounded = ", ".join(f"round({q(n)}, {digits}) + 0.0 AS {q(n)}" for n in names)
     return f'SELECT "Symbol", "Date", {rounded} FROM ({source}) z'
 
 
@@ -298,22 +298,27 @@ def _seen(threshold: str) -> str:
     return ", ".join(columns)
 
 
+# Files whose columns stand as in the first file are fine.
+AUDITED = f"""SELECT b.*, "Symbol" || '.us.txt' AS file,
+  CASE WHEN (s_acctbal < 0) = first_is_odd THEN 'ok' ELSE 'incoherent' END AS status
+FROM ({BARS}) b JOIN supplier s ON b."Symbol" = CAST(s_suppkey AS VARCHAR),
+  (SELECT s_acctbal < 0 AS first_is_odd FROM supplier
+   WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)
+   ORDER BY CAST(s_suppkey AS VARCHAR) || '.us.txt' LIMIT 1) f"""
+
 ORACLES: dict[str, str] = {
     "scan_csv_bars": f"SELECT {bars_rounded()} FROM ({BARS}) b",
     "parse_dates": f"""SELECT "Symbol", {TEXT_DAY} AS day, {_hidden(0, '"Date"')} AS "Date"
 FROM ({BARS}) b""",
     "coerce_numeric": f"""SELECT "Symbol", {TEXT_DAY} AS day, {", ".join(
         r(_hidden(i + 1, q(c)), c) for i, c in enumerate(NUMBERS[:5]))} FROM ({BARS}) b""",
-    "file_audit": f"""SELECT "Symbol" || '.us.txt' AS file,
-  CASE WHEN (s_acctbal < 0) = first_is_odd THEN 'ok' ELSE 'incoherent' END AS status,
-  COUNT(*) AS rows
-FROM ({BARS}) b JOIN supplier s ON b."Symbol" = CAST(s_suppkey AS VARCHAR),
-  (SELECT s_acctbal < 0 AS first_is_odd FROM supplier
-   WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)
-   ORDER BY CAST(s_suppkey AS VARCHAR) || '.us.txt' LIMIT 1) f
-GROUP BY ALL""",
-    "file_date_ranges": f"""SELECT "Symbol" || '.us.txt' AS file, first_date, last_date
-FROM ({_ranges(BARS)}) b""",
+    "file_audit": f"""SELECT file, status, COUNT(*) AS rows FROM ({AUDITED}) a GROUP BY ALL""",
+    "load_coherent_bars": f"""SELECT file, {bars_rounded()} FROM ({AUDITED}) a
+WHERE status = 'ok'""",
+    "file_date_ranges": f"""SELECT file, MIN("Date") AS first_date, MAX("Date") AS last_date
+FROM ({AUDITED}) a WHERE status = 'ok' GROUP BY file""",
+    "incoherent_roundtrip": f"SELECT DISTINCT file FROM ({AUDITED}) a WHERE status <> 'ok'",
+    "eligible_roundtrip": ELIGIBLE,
     "results_roundtrip": RESULTS,
     "drop_null_prices": f"""SELECT {bars_rounded()} FROM ({FLAWED}) b
 WHERE "Open" IS NOT NULL AND "High" IS NOT NULL AND "Low" IS NOT NULL AND "Close" IS NOT NULL""",
@@ -329,7 +334,7 @@ WHERE "Symbol" IN (SELECT "Symbol" FROM ({BARS}) c GROUP BY "Symbol" HAVING COUN
     "simple_returns": columns(FEATURES[6:12]),
     "rolling_volatility": columns(["vol_5", "vol_10", "vol_20"]),
     "volatility_ratio": columns(["vol_ratio_5_20"]),
-    "moving_averages": columns(["ma_5", "ma_10", "ma_20", "ma_60"], nudge=1e-8),
+    "moving_averages": columns(["ma_5", "ma_10", "ma_20", "ma_60"], digits=8),
     "ma_ratios": columns(["ma_ratio_5", "ma_ratio_10", "ma_ratio_20", "ma_ratio_60"]),
     "gap_open": columns(["gap_open"]),
     "volume_ratios": columns(

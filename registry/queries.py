@@ -11,6 +11,7 @@ from barforge.functions.storage import scratch_path, stored
 from barforge.operators import (
     clean, coverage, evaluate, features, labels, models, prepare, profile, report, split, targets,
 )
+from barforge.plans import exploration
 from barforge.sources import audit, files, results, tables
 
 # Cut-offs inside the tables' dates.
@@ -31,17 +32,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 OPTIONAL = ("unique", "freq", "grid_index")
 
 
-def comparable(df: DataFrame, nudge: float = 0.0) -> DataFrame:
-    """Doubles to six decimals, whole numbers as bigint.
-
-    ``nudge`` moves values off exact halves of the last decimal, where the last
-    bit of a sum would decide; the SQL twin adds the same.
-    """
+def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to some decimals, whole numbers as bigint."""
     def plain(name: str, kind: str) -> Column:
         if name in OPTIONAL:
             return F.col(name).cast("double").alias(name)
         if kind in ("double", "float"):
-            return F.round(F.col(name) + nudge, 6).alias(name)
+            return F.round(F.col(name), digits).alias(name)
         if kind in ("int", "smallint", "tinyint"):
             return F.col(name).cast("bigint").alias(name)
         return F.col(name)
@@ -54,14 +51,14 @@ def on(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def history(add: Callable[[DataFrame, WindowSpec], DataFrame], columns: list[str],
-            back: int = 0, ahead: int = 0, nudge: float = 0.0) -> Query:
+            back: int = 0, ahead: int = 0, digits: int = 6) -> Query:
     """Symbol, Date and the columns an operator adds over supplier histories."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = tables.supplier_bars(spark, sf_dir)
         return comparable(
             over_history(bars, add, back=back, ahead=ahead,
                          sized_by=tables.supplier_lines(spark, sf_dir))
-            .select("Symbol", "Date", *columns), nudge)
+            .select("Symbol", "Date", *columns), digits)
     return query
 
 
@@ -148,7 +145,7 @@ def coerce_numeric(df: DataFrame) -> DataFrame:
     return files.coerce_numeric(as_text(df).drop("Date"), K.NUMERIC_COLUMNS[:5])
 
 
-def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audited_folder(spark: SparkSession, sf_dir: str) -> str:
     """Symbol files of suppliers; those with a negative balance get other columns."""
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
         F.col("s_suppkey").cast("string").alias("Symbol"), "s_acctbal")
@@ -156,13 +153,34 @@ def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "audited-files")
     files.write_symbol_files(bars.where("s_acctbal >= 0"), path)
     shuffled = [*K.PRICE_COLUMNS, "Date", "Volume"]
-    files.write_symbol_files(bars.where("s_acctbal < 0"), path, shuffled)
-    return comparable(audit.file_audit(spark, path))
+    files.write_symbol_files(bars.where("s_acctbal < 0"), path, shuffled, mode="append")
+    return path
+
+
+def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(audit.file_audit(spark, audited_folder(spark, sf_dir)))
+
+
+def coherent_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of the audited folder's usable files."""
+    bars = audit.load_coherent_bars(spark, audited_folder(spark, sf_dir))
+    return bars.withColumn("Date", F.col("Date").cast("timestamp_ntz"))
+
+
+def incoherent_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of unusable files that the exploration writes, read back."""
+    out = scratch_path(spark, "exploration")
+    exploration.load_and_report(spark, audited_folder(spark, sf_dir), out)
+    return results.read_names(spark, f"{out}/incoherent_files")
 
 
-def file_date_ranges(df: DataFrame) -> DataFrame:
-    return files.file_date_ranges(
-        df.withColumn("file", F.concat("Symbol", F.lit(K.SYMBOL_FILE_SUFFIX))))
+def eligible_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of eligible symbols that the exploration writes, read back."""
+    reports = exploration.split_reports(
+        tables.class_bars(spark, sf_dir), CLASS_MIN_ROWS, CLASS_TRAIN_END, CLASS_VAL_END, ELIGIBLE)
+    path = exploration.write_eligible(reports, scratch_path(spark, "exploration"))
+    schema = reports["eligible"].schema
+    return comparable(spark.read.schema(schema).option("header", True).csv(path))
 
 
 def results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +279,10 @@ QUERIES: dict[str, Query] = {
     "parse_dates": on(tables.supplier_bars, parse_dates),
     "coerce_numeric": on(tables.supplier_bars, coerce_numeric),
     "file_audit": file_audit,
-    "file_date_ranges": on(tables.supplier_bars, file_date_ranges),
+    "load_coherent_bars": on(coherent_bars, lambda df: df),
+    "file_date_ranges": on(coherent_bars, files.file_date_ranges),
+    "incoherent_roundtrip": incoherent_roundtrip,
+    "eligible_roundtrip": eligible_roundtrip,
     "results_roundtrip": results_roundtrip,
     # filters and joins
     "drop_null_prices": on(tables.flawed_bars, clean.drop_null_prices),
@@ -283,7 +304,8 @@ QUERIES: dict[str, Query] = {
     "volatility_ratio": history(
         with_returns(features.add_volatility), ["vol_ratio_5_20"], back=20),
     "moving_averages": history(
-        features.add_moving_averages, ["ma_5", "ma_10", "ma_20", "ma_60"], back=59, nudge=1e-8),
+        # At eight decimals, no mean of up to 60 prices in cents is an exact half.
+        features.add_moving_averages, ["ma_5", "ma_10", "ma_20", "ma_60"], back=59, digits=8),
     "ma_ratios": history(features.add_moving_averages, [
         "ma_ratio_5", "ma_ratio_10", "ma_ratio_20", "ma_ratio_60"], back=59),
     "gap_open": history(features.add_gap_open, ["gap_open"], back=1),

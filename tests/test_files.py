@@ -2,6 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from barforge.plans import exploration
 from barforge.sources import audit, files, results
 from barforge.functions.storage import scratch_path, stored
 from tests.bars import frame, random_bars, rows
@@ -45,6 +46,39 @@ def test_lenient_load_takes_symbols_from_names(spark, folder):
     assert ranges["c+d%"] == pd.Timestamp("2011-02-03")
 
 
+def test_coherent_load_leaves_bad_files_out(spark, folder):
+    df = audit.load_coherent_bars(spark, folder)
+    assert set(df.columns) == {*HEADER.split(","), "Symbol", "file"}
+    got = {r.file: r["count"] for r in df.groupBy("file").count().collect()}
+    assert got == {"a b.us.txt": 2, "c+d%.us.txt": 2}
+    ranges = {r.file: (r.first_date, r.last_date) for r in files.file_date_ranges(df).collect()}
+    assert ranges["a b.us.txt"] == (pd.Timestamp("2010-01-04"), pd.Timestamp("2010-01-05"))
+
+
+def test_plans_write_their_lists(spark, folder, tmp_path):
+    bars = exploration.load_and_report(spark, folder, f"{tmp_path}/out")
+    assert bars.count() == 4
+    names = results.read_names(spark, f"{tmp_path}/out/incoherent_files")
+    assert sorted(r.file for r in names.collect()) == ["other.us.txt", "wide.us.txt"]
+
+
+def test_symbol_files_keep_times_and_refuse_what_they_cannot_keep(spark, tmp_path):
+    bars = spark.sql("""SELECT 's' AS Symbol, d AS Date, 1.0D AS Open, 1.0D AS High, 1.0D AS Low, 1.0D AS Close,
+        1.0D AS Volume, 0.0D AS OpenInt FROM VALUES (TIMESTAMP'2020-01-02 09:30:00'), (TIMESTAMP'2020-01-02 10:30:00.25'),
+        (TIMESTAMP'2020-01-03 00:00:00'), (NULL) t(d)""")
+    files.write_symbol_files(bars, f"{tmp_path}/a")
+    back = files.load_stock_data(spark, f"{tmp_path}/a")
+    assert sorted(map(str, (r.Date for r in back.collect()))) == sorted(map(str, (r.Date for r in bars.collect())))
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        files.write_symbol_files(bars, f"{tmp_path}/a")
+    files.write_symbol_files(bars, f"{tmp_path}/a", mode="overwrite")
+    assert files.load_stock_data(spark, f"{tmp_path}/a").count() == 4
+    for name in (None, "", " "):
+        bad = bars.withColumn("Symbol", F.lit(name).cast("string"))
+        with pytest.raises(Exception, match="no symbol"):
+            files.write_symbol_files(bad, f"{tmp_path}/b{name}")
+
+
 def test_bulk_load_drops_rows_without_prices(spark, folder):
     df = files.load_stock_data(spark, folder).where("Symbol = 'c+d%'")
     row = df.first()
@@ -52,10 +86,11 @@ def test_bulk_load_drops_rows_without_prices(spark, folder):
 
 
 def test_symbol_of_other_names(spark):
-    paths = ["file:/x/ge.us.txt", "file:/x/file=ge.us.txt/part-0.csv", "file:/x/ge.txt", "ge.us.txt"]
+    paths = ["file:/x/ge.us.txt", "file:/x/file=ge.us.txt/part-0.csv", "file:/x/ge.txt", "ge.us.txt",
+             "file:/x/file=.us.txt/part-0.csv"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     assert [r[0] for r in df.select(files.symbol_of(F.col("p"))).collect()] == [
-        "ge", "ge", "", "ge"]
+        "ge", "ge", "", "ge", ""]
 
 
 def test_symbol_files_round_trip(spark, tmp_path):
