@@ -1,90 +1,83 @@
 """Exact order statistics without gathering a column in one task.
 
-Values are sorted into value bins first. Counts per bin are few and combine
-before the shuffle; their running totals say which bin holds a wanted rank, and
-only the rows of those bins are ranked, one bin per group.
+Equal values are counted first, which combines before the shuffle. The distinct
+values are then dealt out by value ranges of even size, however close together they
+lie, and stored; the counts of the ranges say how many rows lie before each, and
+only the order within a range is left to a window.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Bins are even on a signed logarithmic scale, about a thousandth of the value
-# wide and finer near zero. Doubles of any size fall in some 85,000 bins up to
-# 1e12 and in 1.5 million at the most.
-SCALE = 1e6
-BINS_PER_UNIT = 1024
-LAST_UNIT = 730  # beyond the largest double
+from barforge.functions.history import lookup
+from barforge.functions.storage import stored
 
 
-def value_bin(value: Column) -> Column:
-    """Number of the bin of ``value``; never decreases as the value grows."""
-    size = F.least(F.log1p(F.abs(value) * SCALE), F.lit(float(LAST_UNIT)))
-    return F.floor(F.signum(value) * size * BINS_PER_UNIT).cast("int")
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equality of keys where missing equals missing; ``right`` names them with ``_of``."""
+    return reduce(and_, (left[k].eqNullSafe(right[f"{k}_of"]) for k in keys))
 
 
-def _tally(values: DataFrame, keys: Sequence[str], counts: dict[str, Column]) -> DataFrame:
-    """One row per distinct value: equal ones combine before the shuffle."""
-    return values.groupBy(*keys, "bin", "value").agg(*(
-        c.alias(name) for name, c in counts.items()))
+def _renamed(df: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
+    return df.select(*(F.col(k).alias(f"{k}_of") for k in keys), *columns)
+
+
+def _ranged(tally: DataFrame, keys: Sequence[str], count: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with the ``part`` that holds them, and per key and part the sums of
+    ``count``: ``rows`` in it, those ``before`` it and those of the whole key, ``n``."""
+    dealt = tally.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id())
+    values = stored(dealt, "ranged")
+    in_order = Window.partitionBy(*keys).orderBy("part")
+    parts = (
+        values.groupBy(*keys, "part").agg(F.sum(count).alias("rows"))
+        .withColumn("before", F.sum("rows").over(in_order) - F.col("rows"))
+        .withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
+    )
+    return values, stored(parts, "parts")
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-    by: Sequence[str] = (), costly: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows (*by, column, probability, value).
 
-    NULL and NaN are left out. ``by`` must be columns with few values, such as
-    the split: bin counts are kept per group. The rows are read twice and only
-    counts and the wanted bins are shuffled; ``costly`` says that computing
-    ``df`` again costs more than shuffling the distinct values of ``columns``.
+    NULL and NaN are left out; a missing group is a group. ``df`` is read once.
     """
     keys = [*by, "column"]
-    values = (
+    tally = (
         df.select(*by, *(F.col(c).cast("double").alias(c) for c in columns))
         .unpivot(list(by), list(columns), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .withColumn("bin", value_bin(F.col("value")))
-        .dropna(subset=[*by, "bin"])
+        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("same"))
     )
-    if costly:
-        values = _tally(values, keys, {"same": F.count(F.lit(1))})
-    else:
-        values = values.withColumn("same", F.lit(1).cast("bigint"))
-
-    # A bounded number of bins per group and column, and one total each.
-    in_order = Window.partitionBy(*keys).orderBy("bin")
-    bins = (
-        values.groupBy(*keys, "bin").agg(F.sum("same").alias("rows"))
-        .withColumn("before", F.sum("rows").over(in_order) - F.col("rows"))
-        .withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
-    )
-    # The one or two ranks of each probability, in the bins that hold them.
+    values, parts = _ranged(tally, keys, "same")
+
+    # The one or two ranks of each probability, in the parts that hold them.
     exact = F.col("probability") * (F.col("n") - 1)
     held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
     wanted = (
-        bins.withColumn(
+        parts.withColumn(
             "probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities))))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(exact), F.ceil(exact)))))
         .where(held)
-        .withColumn("target", F.struct(
-            "probability", "rank", (F.col("rank") > exact).alias("upper"),
-            (exact - F.floor(exact)).alias("weight")))
-        .groupBy(*keys, "bin", "before").agg(F.collect_list("target").alias("targets"))
+        .withColumn("upper", F.col("rank") > exact).withColumn("weight", exact - F.floor(exact))
     )
-    # The broadcast has at most two rows per group, column and probability.
-    in_bin = Window.partitionBy(*keys, "bin").orderBy("value")
+    # Parts that hold no wanted rank are not ranked.
+    named = _renamed(wanted, [*keys, "part"], "before").distinct()
+    in_part = Window.partitionBy(*keys, "part").orderBy("value")
     ranked = (
-        values.join(F.broadcast(wanted), [*keys, "bin"])
-        .groupBy(*keys, "bin", "value").agg(
-            F.sum("same").alias("same"), F.first("before").alias("before"),
-            F.first("targets").alias("targets"))
-        .withColumn("end", F.col("before") + F.sum("same").over(in_bin))
+        values.join(lookup(named), _same(values, named, [*keys, "part"]))
+        .select(*keys, "part", "value", "same", "before")
+        .withColumn("end", F.col("before") + F.sum("same").over(in_part))
         .withColumn("start", F.col("end") - F.col("same"))
     )
-    hits = F.filter("targets", lambda t: (t.rank >= F.col("start")) & (t.rank < F.col("end")))
-    found = ranked.select(*keys, "value", F.inline(hits))
+    asked = _renamed(wanted, [*keys, "part"], "probability", "rank", "upper", "weight")
+    hit = (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end"))
+    found = ranked.join(lookup(asked), _same(ranked, asked, [*keys, "part"]) & hit)
     lower = F.max(F.when(~F.col("upper"), F.col("value")))
     upper = F.max(F.when(F.col("upper"), F.col("value")))
     return found.groupBy(*keys, "probability").agg(
@@ -98,35 +91,31 @@ def by_name(quantiles: DataFrame, names: dict[str, float], keys: Sequence[str])
         for name, p in names.items()))
 
 
-def quantile_columns(df: DataFrame, column: str, names: dict[str, float], by: Sequence[str] = (),
-                     costly: bool = False) -> DataFrame:
+def quantile_columns(df: DataFrame, column: str, names: dict[str, float],
+                     by: Sequence[str] = ()) -> DataFrame:
     """The quantiles of one column side by side, one row per group."""
-    long = exact_quantiles(df, [column], list(names.values()), by, costly)
-    return by_name(long, names, by)
+    return by_name(exact_quantiles(df, [column], list(names.values()), by), names, by)
 
 
 def area_under_roc(df: DataFrame, score: str, label: str = "label",
                    by: Sequence[str] = ("split",)) -> DataFrame:
-    """Exact area under the ROC curve per group of ``by`` (few values).
+    """Exact area under the ROC curve per group of ``by``; a missing group is a group.
 
     A positive row counts the negatives scored below it and half of those
-    scored the same; the sum over all is divided by positives x negatives.
+    scored the same; the sum over all is divided by positives x negatives. NaN is
+    larger than any number; rows without a score count for nothing.
     """
-    value = F.col(score).cast("double")
     rises = F.col(label) == 1.0
-    tallied = _tally(
-        df.select(*by, value.alias("value"), value_bin(value).alias("bin"),
-                  F.col(label).alias(label)).dropna(subset=[*by, "bin"]),
-        by, {"p": F.count_if(rises), "q": F.count_if(~rises)})
-    # A bounded number of bins per group.
-    in_order = Window.partitionBy(*by).orderBy("bin")
-    bins = (
-        tallied.groupBy(*by, "bin").agg(F.sum("q").alias("bin_q"))
-        .select(*by, "bin", (F.sum("bin_q").over(in_order) - F.col("bin_q")).alias("bin_below"))
+    tally = (
+        df.select(*by, F.col(score).cast("double").alias("value"), F.col(label).alias(label))
+        .where("value is not null").groupBy(*by, "value")
+        .agg(F.count_if(rises).alias("p"), F.count_if(~rises).alias("q"))
     )
-    in_bin = Window.partitionBy(*by, "bin").orderBy("value")
-    counted = tallied.withColumn("below", F.sum("q").over(in_bin) - F.col("q")).join(
-        F.broadcast(bins), [*by, "bin"])
-    wins = F.sum(F.col("p") * (F.col("below") + F.col("bin_below") + F.col("q") / 2))
+    values, parts = _ranged(tally, by, "q")
+    shift = _renamed(parts, [*by, "part"], "before")
+    in_part = Window.partitionBy(*by, "part").orderBy("value")
+    counted = values.withColumn("below", F.sum("q").over(in_part) - F.col("q"))
+    counted = counted.join(lookup(shift), _same(counted, shift, [*by, "part"]))
+    wins = F.sum(F.col("p") * (F.col("below") + F.col("before") + F.col("q") / 2))
     pairs = F.sum("p").cast("double") * F.sum("q")
     return counted.groupBy(*by).agg(F.try_divide(wins, pairs).alias("auc"))

@@ -26,12 +26,13 @@ def unbiased_kurtosis(column: str) -> Column:
 
 
 def _with_quantiles(df: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """Moments and quantiles per split; ``df`` is read twice, so store one that is costly."""
     basic = df.groupBy("split").agg(
         F.count(TARGET).alias("count"), F.mean(TARGET).alias("mean"),
         F.stddev_samp(TARGET).alias("std"), F.min(TARGET).alias("min"),
         F.max(TARGET).alias("max"))
-    # The target comes from windows: tally its values once rather than redo them.
-    return basic.join(quantile_columns(df, TARGET, quantiles, ["split"], costly=True), "split")
+    found = quantile_columns(df, TARGET, quantiles, ["split"]).withColumnRenamed("split", "split_of")
+    return basic.join(found, F.col("split").eqNullSafe(F.col("split_of"))).drop("split_of")
 
 
 def label_distribution(df: DataFrame) -> DataFrame:

@@ -115,11 +115,11 @@ def column_summary(df: DataFrame) -> DataFrame:
         for c in NUMERIC_COLUMNS)).select(F.inline(F.array(*NUMERIC_COLUMNS)))
     symbols = df.where(F.col("Symbol").isNotNull()).groupBy("Symbol").agg(
         F.count(F.lit(1)).alias("n"))
+    # The most frequent symbol comes with the totals: the least of (-rows, symbol).
     texts = symbols.agg(
         F.lit("Symbol").alias("column"), F.sum("n").alias("count"),
-        F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
-    top = symbols.orderBy(F.desc("n"), "Symbol").limit(1).select(F.col("Symbol").alias("top"))
-    texts = texts.withColumn("top", top.scalar())
+        F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"),
+        F.min(F.struct(-F.col("n"), F.col("Symbol").alias("top")))["top"].alias("top"))
     return numbers.join(by_name(quartiles, QUARTILES, ["column"]), "column", "left").unionByName(
         texts, allowMissingColumns=True)
 

@@ -110,6 +110,14 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.symbol_split_counts(class_labelled(spark, sf_dir))
 
 
+def once(source: Query, *columns: str) -> Query:
+    """``source`` stored, for operators that read it more than once: its windows run once."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = source(spark, sf_dir)
+        return stored(df.select(*columns) if columns else df, "once")
+    return query
+
+
 def momentum_guess(df: DataFrame) -> DataFrame:
     """Predict a rise after a rise over five rows."""
     return df.withColumn("prediction", F.when(F.col("ret_5") > 0, 1.0).otherwise(0.0))
@@ -190,15 +198,13 @@ def results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- evaluation ------------------------------------------------------------------
 
-def momentum_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def momentum_results(frame: DataFrame) -> DataFrame:
     """Result rows of six fixed rules, one per return column, in one pass."""
-    returns = [f"ret_{k}" for k in K.RETURN_LAGS]
     rules = F.array(*(
         F.struct(F.lit(i).alias("grid_index"), F.lit(float(k)).alias("lag"),
                  F.when(F.col(f"ret_{k}") > 0, 1.0).otherwise(0.0).alias("prediction"))
         for i, k in enumerate(K.RETURN_LAGS)))
-    guesses = by_date(classification)(spark, sf_dir).where("split <> 'train'").select(
-        "split", "label", *returns).select("split", "label", F.inline(rules))
+    guesses = frame.where("split <> 'train'").select("split", "label", F.inline(rules))
     keys = ["grid_index", "lag"]
     metrics = evaluate.classification_metrics(guesses, [*keys, "split"])
     wide = evaluate.val_test_columns(metrics, evaluate.CLASSIFICATION_METRICS, keys)
@@ -207,8 +213,8 @@ def momentum_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    baseline = evaluate.majority_baseline(by_date(classification)(spark, sf_dir))
-    return report.combine_results(baseline, momentum_results(spark, sf_dir))
+    frame = once(by_date(classification), "split", "label", *_returns(K.RETURN_LAGS))(spark, sf_dir)
+    return report.combine_results(evaluate.majority_baseline(frame), momentum_results(frame))
 
 
 def momentum_board(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,9 +363,9 @@ QUERIES: dict[str, Query] = {
     "rows_per_year": on(tables.flawed_bars, profile.rows_per_year),
     "active_symbols_per_year": on(tables.class_bars, profile.active_symbols_per_year),
     # targets and coverage per split
-    "label_distribution": on(labelled, labels.label_distribution),
+    "label_distribution": on(once(labelled), labels.label_distribution),
     "label_moments": on(labelled, labels.label_moments),
-    "label_summary_table": on(labelled, labels.label_summary_table),
+    "label_summary_table": on(once(labelled), labels.label_summary_table),
     "binary_balance": on(labelled, labels.binary_balance),
     "symbol_split_counts": on(class_counts, lambda df: df),
     "symbols_per_split": on(class_labelled, coverage.symbols_per_split),

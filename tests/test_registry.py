@@ -59,3 +59,11 @@ def test_top_lists_are_limited_before_the_shuffle(spark):
     plan = entry.queries()["top_symbols_by_split"](spark, SF_DIR)._jdf.queryExecution(
     ).executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_windows_run_once(spark):
+    """Label and score reports read one stored frame: no window is left in their plans twice."""
+    for name in ("label_distribution", "label_summary_table", "auc_exact", "results_leaderboard",
+                 "best_per_model"):
+        plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lead(") <= 1 and plan.count("stddev") <= 3, name
