@@ -1,7 +1,7 @@
 """Fitting, tuning and scoring of MLlib models.
 
-The model frame is stored by split and the scaler fitted once; fits and scores
-read that table. Predictions of both later splits are scored together.
+The vectors of the model frame are stored by split, scaled by one fit; fits and scores
+read that table. All models of a grid are scored on both later splits in one pass.
 """
 
 from collections.abc import Callable, Sequence
@@ -61,13 +61,14 @@ def standard_scaled(df: DataFrame, features: list[str], keep: list[str]) -> Data
 
 
 def training_table(df: DataFrame, features: list[str], scale: bool) -> DataFrame:
-    """Vectors and labels over ``df`` stored in the shared folder by split.
+    """Vectors and labels of ``df`` stored in the shared folder by split.
 
-    The windows behind ``df`` run once, for the write. Assembling and scaling
-    are part of each scan; fits that iterate keep their input themselves.
+    The windows behind ``df`` run once, for the first write, from which the scaler is
+    fitted; the vectors are assembled and scaled once, for the second.
     """
     frame = stored(df.select("split", "label", *features), "training", partition_by="split")
-    return with_vectors(frame, features, scale, ["split", "label"])
+    return stored(with_vectors(frame, features, scale, ["split", "label"]), "vectors",
+                  partition_by="split")
 
 
 # --- grids -----------------------------------------------------------------------
@@ -80,63 +81,76 @@ class Fit(NamedTuple):
     metrics: dict
 
 
-Score = Callable[[Model], dict]
+Score = Callable[[Sequence[Model]], list[dict]]
 
 
-def fit_grid(
-    estimator: Estimator, points: Sequence[dict], train: DataFrame, score: Score,
-    unused: Sequence[str] = (), parallel: int = PARALLEL_FITS,
-) -> list[Fit]:
-    """One fit per grid point, in grid order; a few run side by side.
+def fit_models(estimator: Estimator, points: Sequence[dict], train: DataFrame,
+               parallel: int = PARALLEL_FITS) -> list[Model]:
+    """One fit per grid point, in grid order; ``parallel`` of them run side by side,
+    each with its own copy of the training rows where the algorithm keeps one."""
+    def run(point: dict) -> Model:
+        settings = {estimator.getParam(name): value for name, value in point.items()}
+        return estimator.copy(settings).fit(train)
 
-    Points that differ only in ``unused`` parameters, which the solver does not
-    look at, share one fit.
-    """
-    def essential(point: dict) -> tuple:
-        return tuple((k, v) for k, v in point.items() if k not in unused)
+    with ThreadPool(max(1, min(parallel, len(points)))) as pool:
+        return pool.map(inheritable_thread_target(train.sparkSession)(run), points)
 
-    def run(point: dict) -> Fit:
-        settings = {estimator.getParam(name): value for name, value in point.items()}
-        model = estimator.copy(settings).fit(train)
-        return Fit(point, model, score(model))
 
-    different = {essential(point): point for point in reversed(points)}
-    with ThreadPool(min(parallel, len(different))) as pool:
-        runs = pool.map(inheritable_thread_target(train.sparkSession)(run), different.values())
-    done = {essential(fit.point): fit for fit in runs}
-    return [done[essential(point)]._replace(point=point) for point in points]
+def _predicted(models: Sequence[Model], later: DataFrame, raw: bool) -> DataFrame:
+    """(grid_index, split, label, prediction, score) of every model on every row, in one pass."""
+    df, told = later, []
+    for i, model in enumerate(models):
+        named = model.copy({model.getParam("predictionCol"): f"p_{i}"})
+        entry = [F.lit(i).alias("grid_index"), F.col(f"p_{i}").alias("prediction")]
+        if raw:
+            named = named.copy({named.getParam("rawPredictionCol"): f"r_{i}",
+                                named.getParam("probabilityCol"): ""})
+            entry.append(vector_to_array(f"r_{i}")[1].alias("score"))
+        df = named.transform(df)
+        told.append(F.struct(*entry))
+    return df.select("split", "label", F.inline(F.array(*told)))
 
 
-def _side_by_side(rows: list[dict], names: Sequence[str]) -> dict:
-    """Metrics of the later splits as val_* and test_* values."""
+def _side_by_side(rows: list[dict], count: int, names: Sequence[str]) -> list[dict]:
+    """Metrics of the later splits as val_* and test_* values, by grid point."""
     sides = {"validation": "val", "test": "test"}
-    return {f"{sides[r['split']]}_{name}": r[name] for r in rows for name in names}
+    out: list[dict] = [{} for _ in range(count)]
+    for r in rows:
+        out[r["grid_index"]] |= {f"{sides[r['split']]}_{name}": r[name] for name in names}
+    return out
+
+
+BY = ("grid_index", "split")
 
 
 def classification_scores(later: DataFrame) -> Score:
-    """Metrics of a classifier on the later splits, both in the same jobs."""
-    def score(model: Model) -> dict:
-        raw = vector_to_array("rawPrediction")[1].alias("score")
-        predicted = model.transform(later).select("split", "label", "prediction", raw).persist()
-        try:
-            areas = area_under_roc(predicted, "score")
-            rows = classification_metrics(predicted).join(areas, "split").collect()  # 2 rows
-        finally:
-            predicted.unpersist()
-        return _side_by_side([r.asDict() for r in rows], (*CLASSIFICATION_METRICS, "auc"))
+    """Metrics of classifiers on the later splits: one scoring pass, one aggregation for
+    the metrics and one tally of scores for the areas, whatever the number of models."""
+    def score(models: Sequence[Model]) -> list[dict]:
+        predicted = stored(_predicted(models, later, raw=True), "predicted")
+        areas = area_under_roc(predicted, "score", by=BY)
+        rows = classification_metrics(predicted, BY).join(areas, list(BY)).collect()
+        return _side_by_side([r.asDict() for r in rows], len(models), (*CLASSIFICATION_METRICS, "auc"))
 
     return score
 
 
 def regression_scores(later: DataFrame) -> Score:
-    """Metrics of a regressor on the later splits in one aggregation."""
-    def score(model: Model) -> dict:
-        rows = regression_metrics(model.transform(later)).collect()  # 2 rows
-        return _side_by_side([r.asDict() for r in rows], REGRESSION_METRICS)
+    """Metrics of regressors on the later splits in one aggregation."""
+    def score(models: Sequence[Model]) -> list[dict]:
+        rows = regression_metrics(_predicted(models, later, raw=False), BY).collect()
+        return _side_by_side([r.asDict() for r in rows], len(models), REGRESSION_METRICS)
 
     return score
 
 
+def fit_grid(estimator: Estimator, points: Sequence[dict], train: DataFrame, score: Score,
+             parallel: int = PARALLEL_FITS) -> list[Fit]:
+    """A fit per grid point, all scored together."""
+    models = fit_models(estimator, points, train, parallel)
+    return [Fit(*parts) for parts in zip(points, models, score(models))]
+
+
 def _results(spark: SparkSession, name: str, fits: list[Fit], metrics: list[str],
              extra: list[dict] | None = None) -> DataFrame:
     """Result rows: model, grid position, parameters, metrics."""
@@ -166,7 +180,7 @@ class Search(NamedTuple):
 
 def grid_search(
     name: str, estimator: Estimator, grid: Grid, table: DataFrame,
-    classification: bool, unused: Sequence[str] = (),
+    classification: bool, parallel: int = PARALLEL_FITS,
 ) -> Search:
     """Fit every grid point on the training rows, score the later splits.
 
@@ -175,7 +189,7 @@ def grid_search(
     train = table.where(F.col("split") == "train").select("label", "features")
     later = table.where(F.col("split") != "train")
     scores = classification_scores if classification else regression_scores
-    fits = fit_grid(estimator, grid_points(grid), train, scores(later), unused)
+    fits = fit_grid(estimator, grid_points(grid), train, scores(later), parallel)
     if classification:
         names, metric = (*CLASSIFICATION_METRICS, "auc"), "val_f1"
     else:
@@ -191,49 +205,51 @@ def grid_search(
 # --- the models ------------------------------------------------------------------
 # Linear models take a table of scaled vectors, trees one of plain vectors.
 
-def logistic_grid(table: DataFrame, grid: Grid = LOGISTIC_GRID) -> Search:
+def logistic_grid(table: DataFrame, grid: Grid = LOGISTIC_GRID,
+                  parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("LogisticRegression", LogisticRegression(maxIter=MAX_ITER), grid,
-                       table, classification=True)
+                       table, classification=True, parallel=parallel)
 
 
-def rf_classifier_grid(table: DataFrame, grid: Grid = RF_CLASSIFIER_GRID) -> Search:
+def rf_classifier_grid(table: DataFrame, grid: Grid = RF_CLASSIFIER_GRID,
+                       parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("RandomForestClassifier", RandomForestClassifier(seed=SEED), grid,
-                       table, classification=True)
+                       table, classification=True, parallel=parallel)
 
 
-def gbt_classifier_grid(table: DataFrame, grid: Grid = GBT_CLASSIFIER_GRID) -> Search:
+def gbt_classifier_grid(table: DataFrame, grid: Grid = GBT_CLASSIFIER_GRID,
+                        parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("GBTClassifier", GBTClassifier(seed=SEED), grid,
-                       table, classification=True)
+                       table, classification=True, parallel=parallel)
 
 
-def linear_regression_grid(table: DataFrame, grid: Grid = LINEAR_GRID) -> Search:
+def linear_regression_grid(table: DataFrame, grid: Grid = LINEAR_GRID,
+                           parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("LinearRegression", LinearRegression(maxIter=MAX_ITER), grid,
-                       table, classification=False)
+                       table, classification=False, parallel=parallel)
 
 
 def _gaussian() -> Estimator:
     return GeneralizedLinearRegression(family="gaussian", link="identity")
 
 
-# A gaussian model with identity link is solved in one step: no iterations to limit.
-GLR_UNUSED = ("maxIter",)
-
-
-def glr_grid(table: DataFrame, grid: Grid = GLR_GRID) -> Search:
+def glr_grid(table: DataFrame, grid: Grid = GLR_GRID,
+             parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("GeneralizedLinearRegression", _gaussian(), grid,
-                       table, classification=False, unused=GLR_UNUSED)
+                       table, classification=False, parallel=parallel)
 
 
-def rf_regressor_grid(table: DataFrame, grid: Grid = RF_REGRESSOR_GRID) -> Search:
+def rf_regressor_grid(table: DataFrame, grid: Grid = RF_REGRESSOR_GRID,
+                      parallel: int = PARALLEL_FITS) -> Search:
     return grid_search("RandomForestRegressor", RandomForestRegressor(seed=SEED), grid,
-                       table, classification=False)
+                       table, classification=False, parallel=parallel)
 
 
 # --- cross-validation ------------------------------------------------------------
 
 def cross_validate(
     name: str, estimator: Estimator, grid: Grid, df: DataFrame, features: list[str],
-    folds: int = FOLDS, unused: Sequence[str] = (),
+    folds: int = FOLDS, parallel: int = PARALLEL_FITS,
 ) -> Search:
     """K-fold RMSE of each grid point on the training rows, then test metrics.
 
@@ -247,17 +263,19 @@ def cross_validate(
     sums = [0.0] * len(points)
     for fold in range(folds):
         side = F.when(F.col("fold") == fold, "validation").otherwise("train")
-        vectors = with_vectors(
-            inner.withColumn("split", side), features, scale=True, keep=["split", "label"])
+        vectors = stored(with_vectors(
+            inner.withColumn("split", side), features, scale=True, keep=["split", "label"]),
+            "fold", partition_by="split")
         train = vectors.where(F.col("split") == "train").select("label", "features")
         held_out = vectors.where(F.col("split") == "validation")
-        fits = fit_grid(estimator, points, train, regression_scores(held_out), unused)
+        fits = fit_grid(estimator, points, train, regression_scores(held_out), parallel)
         sums = [s + fit.metrics["val_rmse"] for s, fit in zip(sums, fits)]
 
-    vectors = with_vectors(df, features, scale=True, keep=["split", "label"])
+    vectors = stored(with_vectors(df, features, scale=True, keep=["split", "label"]),
+                     "vectors", partition_by="split")
     train = vectors.where(F.col("split") == "train").select("label", "features")
     fits = fit_grid(estimator, points, train,
-                    regression_scores(vectors.where(F.col("split") == "test")), unused)
+                    regression_scores(vectors.where(F.col("split") == "test")), parallel)
     averages = [{"cv_rmse_avg": s / folds} for s in sums]
     columns = ["cv_rmse_avg", *(f"test_{m}" for m in REGRESSION_METRICS)]
     results = mark_best(
@@ -265,14 +283,16 @@ def cross_validate(
     return Search(results, fits[sums.index(min(sums))].model)
 
 
-def linear_regression_cv(df: DataFrame, features: list[str], grid: Grid = LINEAR_GRID) -> Search:
+def linear_regression_cv(df: DataFrame, features: list[str], grid: Grid = LINEAR_GRID,
+                         parallel: int = PARALLEL_FITS) -> Search:
     return cross_validate("LinearRegression", LinearRegression(maxIter=MAX_ITER), grid,
-                          df, features)
+                          df, features, parallel=parallel)
 
 
-def glr_cv(df: DataFrame, features: list[str], grid: Grid = GLR_GRID) -> Search:
+def glr_cv(df: DataFrame, features: list[str], grid: Grid = GLR_GRID,
+           parallel: int = PARALLEL_FITS) -> Search:
     return cross_validate("GeneralizedLinearRegression", _gaussian(), grid,
-                          df, features, unused=GLR_UNUSED)
+                          df, features, parallel=parallel)
 
 
 def single_feature_line(df: DataFrame, feature: str) -> DataFrame:

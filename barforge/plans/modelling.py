@@ -35,20 +35,28 @@ def _write(results: list[DataFrame], order, output_dir: str, name: str) -> tuple
     return board, write_results(board, output_dir, name)
 
 
+def _vectors(frame: DataFrame, scale: bool) -> DataFrame:
+    """The stored model frame as stored vectors."""
+    return stored(models.with_vectors(frame, FEATURES, scale, ["split", "label"]), "vectors",
+                  partition_by="split")
+
+
 def classification_job(
     bars: DataFrame, output_dir: str, min_rows: int = MIN_ROWS,
-    train_end: str = TRAIN_END, val_end: str = VAL_END,
+    train_end: str = TRAIN_END, val_end: str = VAL_END, parallel: int = models.PARALLEL_FITS,
 ) -> Outcome:
-    """Direction of the 20-row return: baseline, logistic regression, forest, boosting."""
+    """Direction of the 20-row return: baseline, logistic regression, forest, boosting.
+
+    ``parallel`` fits of a grid run side by side.
+    """
     frame = stored(
         add_temporal_split(prepare_classification(bars, min_rows), train_end, val_end),
         "classification", partition_by="split")
-    scaled = models.with_vectors(frame, FEATURES, scale=True, keep=["split", "label"])
-    plain = models.with_vectors(frame, FEATURES, scale=False, keep=["split", "label"])
+    scaled, plain = _vectors(frame, scale=True), _vectors(frame, scale=False)
     searches = {
-        "LogisticRegression": (models.logistic_grid(scaled), scaled),
-        "RandomForestClassifier": (models.rf_classifier_grid(plain), plain),
-        "GBTClassifier": (models.gbt_classifier_grid(plain), plain),
+        "LogisticRegression": (models.logistic_grid(scaled, parallel=parallel), scaled),
+        "RandomForestClassifier": (models.rf_classifier_grid(plain, parallel=parallel), plain),
+        "GBTClassifier": (models.gbt_classifier_grid(plain, parallel=parallel), plain),
     }
     reports = {
         name: class_report(search.best_model.transform(table.where(F.col("split") != "train")))
@@ -62,30 +70,34 @@ def classification_job(
 def regression_job(
     bars: DataFrame, output_dir: str, min_rows: int = MIN_ROWS,
     train_end: str = TRAIN_END, val_end: str = VAL_END, forest: bool = False,
+    parallel: int = models.PARALLEL_FITS,
 ) -> Outcome:
     """Size of the 20-row log return: baseline, two linear models, a forest on demand."""
     frame = stored(
         add_temporal_split(prepare_regression(bars, min_rows), train_end, val_end),
         "regression", partition_by="split")
-    scaled = models.with_vectors(frame, FEATURES, scale=True, keep=["split", "label"])
+    scaled = _vectors(frame, scale=True)
     searches = {
-        "LinearRegression": models.linear_regression_grid(scaled),
-        "GeneralizedLinearRegression": models.glr_grid(scaled),
+        "LinearRegression": models.linear_regression_grid(scaled, parallel=parallel),
+        "GeneralizedLinearRegression": models.glr_grid(scaled, parallel=parallel),
     }
     if forest:
-        plain = models.with_vectors(frame, FEATURES, scale=False, keep=["split", "label"])
-        searches["RandomForestRegressor"] = models.rf_regressor_grid(plain)
+        searches["RandomForestRegressor"] = models.rf_regressor_grid(
+            _vectors(frame, scale=False), parallel=parallel)
     results = [zero_baseline(frame), *(s.results for s in searches.values())]
     board, path = _write(results, REGRESSION_ORDER, output_dir, "regression_results")
     return Outcome(board, path, {}, {n: s.best_model for n, s in searches.items()})
 
 
-def cross_validation_job(bars: DataFrame, output_dir: str) -> Outcome:
+def cross_validation_job(bars: DataFrame, output_dir: str,
+                         parallel: int = models.PARALLEL_FITS) -> Outcome:
     """The early regression on seven features: hash split, three folds."""
     frame = stored(add_fold(add_hash_split(prepare_legacy(bars)), FOLDS), "cross-validation")
     searches = {
-        "LinearRegression": models.linear_regression_cv(frame, LEGACY_FEATURES),
-        "GeneralizedLinearRegression": models.glr_cv(frame, LEGACY_FEATURES),
+        "LinearRegression": models.linear_regression_cv(
+            frame, LEGACY_FEATURES, parallel=parallel),
+        "GeneralizedLinearRegression": models.glr_cv(
+            frame, LEGACY_FEATURES, parallel=parallel),
     }
     results = [s.results for s in searches.values()]
     board, path = _write(results, CROSS_VALIDATION_ORDER, output_dir, "regression_results")

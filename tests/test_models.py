@@ -2,7 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import functions as F
 
 from barforge import constants as K
@@ -91,11 +92,24 @@ def test_regression_grids(regression_table):
         assert all(r.test_rmse > 0 and r.val_mae <= r.val_rmse for r in rows)
 
 
-def test_glr_points_that_differ_in_iterations_share_a_fit(regression_table):
-    rows = models.glr_grid(regression_table).results.orderBy("grid_index").collect()
-    assert [(r.regParam, r.maxIter) for r in rows[:4]] == [
-        (0.005, 50), (0.005, 100), (0.005, 150), (0.01, 50)]
-    assert rows[0].val_rmse == rows[2].val_rmse != rows[3].val_rmse
+def test_every_glr_point_has_its_own_fit(regression_table, monkeypatch):
+    fitted = []
+    real = GeneralizedLinearRegression.fit
+    monkeypatch.setattr(GeneralizedLinearRegression, "fit", lambda self, *a: fitted.append(
+        (self.getRegParam(), self.getMaxIter())) or real(self, *a))
+    rows = models.glr_grid(regression_table, parallel=1).results.orderBy("grid_index").collect()
+    assert fitted == [(r.regParam, r.maxIter) for r in rows] and len(fitted) == 15
+    assert rows[0].val_rmse != rows[3].val_rmse
+
+
+def test_a_grid_is_scored_as_each_model_alone(table):
+    later = table.where("split <> 'train'")
+    train = table.where("split = 'train'").select("label", "features")
+    points = models.grid_points({"regParam": [0.01, 0.1], "elasticNetParam": [0.0]})
+    fits = models.fit_grid(LogisticRegression(maxIter=20), points, train, models.classification_scores(later), parallel=2)
+    alone = [models.classification_scores(later)([f.model])[0] for f in fits]
+    assert [f.metrics for f in fits] == [pytest.approx(m) for m in alone]
+    assert fits[0].metrics != fits[1].metrics
 
 
 def test_cross_validation_equals_a_plain_loop(spark, bars):

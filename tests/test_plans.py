@@ -20,7 +20,7 @@ def test_classification_job(spark, bars, tmp_path, monkeypatch):
     }
     for name, grid in small.items():
         search = getattr(models, name)
-        monkeypatch.setattr(models, name, lambda t, search=search, grid=grid: search(t, grid))
+        monkeypatch.setattr(models, name, lambda t, search=search, grid=grid, **options: search(t, grid, **options))
     outcome = modelling.classification_job(bars, str(tmp_path))
     board = read_results(spark, outcome.path).collect()
     assert len(board) == 5
