@@ -281,6 +281,84 @@ b AS (SELECT *, SUM(q) OVER (PARTITION BY split ORDER BY s) - q AS below FROM g)
 SELECT split, {r("SUM(p * (below + q / 2)) / (SUM(p)::DOUBLE * SUM(q))", "auc")}
 FROM b GROUP BY split"""
 
+# --- models whose answers have a closed form -------------------------------------------
+# A line of standardised x and y: correlation, soft-thresholded by the L1 part of the
+# penalty and shrunk by the L2 part, penalties divided by the deviation of y.
+
+def _lines(frame: str, x: str, grid: str, train: str, groups: str = "") -> str:
+    """(groups, grid_index, regParam, penalties, w, b) of every grid point."""
+    return f"""SELECT *, my - w * mx AS b FROM (
+  SELECT *, sign(rho) * greatest(abs(rho) - reg / sy * l1, 0) / (1 + reg / sy * (1 - l1)) * sy / sx AS w
+  FROM (SELECT {groups} corr({x}, label) AS rho, stddev_pop({x}) AS sx, stddev_pop(label) AS sy,
+      avg({x}) AS mx, avg(label) AS my FROM {frame} WHERE {train} {"GROUP BY ALL" if groups else ""}) s, ({grid}) g) t"""
+
+
+def _errors(pairs: str, keys: str) -> str:
+    return f"""SELECT {keys}, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae,
+  1 - SUM(e * e) / (COUNT(*) * var_pop(label)) AS r2 FROM ({pairs}) p GROUP BY {keys}"""
+
+
+ERRORS = ["rmse", "mae", "r2"]
+LINEAR_POINTS = """SELECT row_number() OVER () - 1 AS grid_index, reg, l1, l1 AS second FROM (VALUES
+  (0.01, 0.5), (0.01, 1.0), (0.1, 0.5), (0.1, 1.0)) v(reg, l1)"""
+GLR_POINTS = """SELECT (a.i * 3 + b.i) AS grid_index, reg, 0.0 AS l1, second FROM
+  (VALUES (0, 0.005), (1, 0.01), (2, 0.02), (3, 0.03), (4, 0.1)) a(i, reg), (VALUES (0, 50.0), (1, 100.0), (2, 150.0)) b(i, second)"""
+
+
+def _line_grid(name: str, points: str, second: str) -> str:
+    return f"""WITH d AS MATERIALIZED (SELECT split, label, ret_5 FROM ({REG_SPLIT}) x),
+t AS MATERIALIZED ({_lines("d", "ret_5", points, "split = 'train'")}),
+m AS ({_errors("SELECT split, grid_index, label, label - b - w * ret_5 AS e FROM d, t WHERE split <> 'train'", "split, grid_index")})
+SELECT '{name}' AS model_name, grid_index::DOUBLE AS grid_index, {r("max(reg)::DOUBLE", "regParam")},
+  {r("max(second)::DOUBLE", second)}, {", ".join(
+      r(f"max({m}) FILTER (split = '{split}')", f"{side}_{m}")
+      for side, split in (("val", "validation"), ("test", "test")) for m in ERRORS)}
+FROM m JOIN t USING (grid_index) GROUP BY grid_index"""
+
+
+def _line_cv(name: str, points: str, second: str) -> str:
+    key = "\"Symbol\" || '|' || strftime(\"Date\", '%Y-%m-%d')"
+    bucket = "CAST('0x' || substr(md5({}), 1, 4) AS INT)"
+    return f"""WITH d AS MATERIALIZED (SELECT label, "PastReturn5" AS x, {bucket.format(key)} % 10 < 8 AS train,
+  {bucket.format("'fold|' || " + key)} % 3 AS fold FROM ({LEGACY_FRAME}) l),
+f AS MATERIALIZED ({_lines("d, (VALUES (0), (1), (2)) h(held)", "x", points, "train AND fold <> held", "held,")}),
+c AS (SELECT grid_index, avg(rmse) AS cv FROM ({_errors(
+    "SELECT held, grid_index, label, label - b - w * x AS e FROM d JOIN f ON train AND fold = held",
+    "held, grid_index")}) v GROUP BY grid_index),
+t AS MATERIALIZED ({_lines("d", "x", points, "train")}),
+m AS ({_errors("SELECT grid_index, label, label - b - w * x AS e FROM d, t WHERE NOT train", "grid_index")})
+SELECT '{name}' AS model_name, grid_index::DOUBLE AS grid_index, {r("reg::DOUBLE", "regParam")},
+  {r("second::DOUBLE", second)}, {r("cv", "cv_rmse_avg")}, {", ".join(r(e, f"test_{e}") for e in ERRORS)}
+FROM m JOIN c USING (grid_index) JOIN t USING (grid_index)"""
+
+
+# Models of one 0/1 feature learn a value for each side.
+def _sides(frame: str) -> str:
+    return f"""d AS MATERIALIZED (SELECT split, label, ret_5 > 0 AS rising FROM ({frame}) x),
+v AS (SELECT rising, avg(label) AS s FROM d WHERE split = 'train' GROUP BY rising)"""
+
+
+def _class_sides(name: str, parameters: str, merged: bool = False) -> str:
+    """``merged``: sides with one answer become one, and share their score."""
+    score = "CASE WHEN (SELECT min(s) > 0.5 OR max(s) <= 0.5 FROM v) THEN 0.5 ELSE s END" if merged else "s"
+    return f"""WITH {_sides(CLASS_SPLIT)},
+p AS MATERIALIZED (SELECT split, label, CASE WHEN s > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+  {score} AS s FROM d JOIN v USING (rising) WHERE split <> 'train'),
+g AS (SELECT split, s, COUNT(*) FILTER (label = 1) AS p, COUNT(*) FILTER (label <> 1) AS q FROM p GROUP BY split, s),
+a AS (SELECT split, SUM(p * (below + q / 2)) / (SUM(p)::DOUBLE * SUM(q)) AS auc FROM (
+  SELECT *, SUM(q) OVER (PARTITION BY split ORDER BY s) - q AS below FROM g) b GROUP BY split),
+m AS (SELECT * FROM ({_weighted("SELECT * FROM p", "split")}) w JOIN a USING (split))
+SELECT '{name}' AS model_name, 0::DOUBLE AS grid_index, {parameters}, {", ".join(
+    r(f"max({q(c)}) FILTER (split = '{split}')", f"{side}_{c}")
+    for side, split in (("val", "validation"), ("test", "test")) for c in [*METRICS, "auc"])}, TRUE AS is_best FROM m"""
+
+
+RF_SIDES = f"""WITH {_sides(REG_SPLIT)},
+m AS ({_errors("SELECT split, label, label - s AS e FROM d JOIN v USING (rising) WHERE split <> 'train'", "split")})
+SELECT 'RandomForestRegressor' AS model_name, 0::DOUBLE AS grid_index, 1::DOUBLE AS "numTrees", 1::DOUBLE AS "maxDepth",
+  {", ".join(r(f"max({e}) FILTER (split = '{split}')", f"{side}_{e}")
+             for side, split in (("val", "validation"), ("test", "test")) for e in ERRORS)}, TRUE AS is_best FROM m"""
+
 TEXT_DAY = 'strftime("Date", \'%Y-%m-%d\')'
 
 
@@ -478,11 +556,22 @@ FROM ({GUESSED}) g GROUP BY split, label, prediction""",
   {r("(r0 + r1) / 2", "balanced_accuracy")} FROM ({_scores(GUESSED, "split")}) s""",
     "results_leaderboard": RESULTS,
     "best_per_model": f"SELECT * FROM ({RESULTS}) z WHERE is_best",
-    "standard_scaled": f"""WITH data AS ({CLASS_SPLIT}),
-m AS (SELECT {", ".join(f'avg({q(c)}) AS "m_{c}", stddev_samp({q(c)}) AS "s_{c}"'
+    "standard_scaled": f"""WITH data AS MATERIALIZED ({CLASS_SPLIT}),
+m AS MATERIALIZED (SELECT {", ".join(f'avg({q(c)}) AS "m_{c}", stddev_samp({q(c)}) AS "s_{c}"'
                         for c in FEATURES)} FROM data WHERE split = 'train')
 SELECT "Symbol", "Date", split, {", ".join(
         r(f'({q(c)} - "m_{c}") / "s_{c}"', c) for c in FEATURES)} FROM data, m""",
+    "linear_regression_line": _line_grid("LinearRegression", LINEAR_POINTS, "elasticNetParam"),
+    "glr_line": _line_grid("GeneralizedLinearRegression", GLR_POINTS, "maxIter"),
+    "linear_regression_cv_line": _line_cv("LinearRegression", LINEAR_POINTS, "elasticNetParam"),
+    "glr_cv_line": _line_cv("GeneralizedLinearRegression", GLR_POINTS, "maxIter"),
+    "logistic_sides": _class_sides(
+        "LogisticRegression", '0::DOUBLE AS "regParam", 0::DOUBLE AS "elasticNetParam"'),
+    "rf_classifier_sides": _class_sides(
+        "RandomForestClassifier", '1::DOUBLE AS "numTrees", 1::DOUBLE AS "maxDepth"', merged=True),
+    "gbt_classifier_sides": _class_sides(
+        "GBTClassifier", '1::DOUBLE AS "maxDepth", 1::DOUBLE AS "maxIter"'),
+    "rf_regressor_sides": RF_SIDES,
     "linreg_slope": f"""SELECT 'ret_5' AS feature, {r("regr_slope(label, ret_5)", "slope")},
   {r("regr_intercept(label, ret_5)", "intercept")} FROM ({REG_SPLIT}) x""",
 }

@@ -2,6 +2,8 @@
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec, functions as F
 
 from barforge import constants as K
@@ -258,6 +260,38 @@ def cross_validated(search: Callable) -> Query:
     return query
 
 
+# The same searches where SQL knows the answer: lines of one feature, and models of one
+# 0/1 feature, which can only learn a value for each side.
+
+def line(search: Callable) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = models.training_table(by_date(regression)(spark, sf_dir), ["ret_5"], scale=True)
+        # Points that differ in iterations alone tie: which of them is best is not compared.
+        return comparable(search(table).results.drop("is_best"))
+    return query
+
+
+def line_cv(search: Callable) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepared = split.add_fold(split.add_hash_split(legacy(spark, sf_dir)), K.FOLDS)
+        return comparable(search(stored(prepared, "folds"), ["PastReturn5"]).results.drop("is_best"))
+    return query
+
+
+def sides(source: Query, search: Callable[[DataFrame], models.Search]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rising = F.when(F.col("ret_5") > 0, 1.0).otherwise(0.0)
+        df = by_date(source)(spark, sf_dir).select("split", "label", rising.alias("rising"))
+        return comparable(search(models.training_table(df, ["rising"], scale=False)).results)
+    return query
+
+
+def stump(name: str, estimator, classification: bool) -> Callable[[DataFrame], models.Search]:
+    """One tree of depth 1 on all rows."""
+    return lambda table: models.grid_search(
+        name, estimator(bootstrap=False, seed=K.SEED), {"numTrees": [1], "maxDepth": [1]}, table, classification)
+
+
 def standard_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Read twice, to fit and to scale: stored so that the windows run once.
     prepared = stored(by_date(classification)(spark, sf_dir), "prepared")
@@ -404,4 +438,16 @@ QUERIES: dict[str, Query] = {
     "gbt_classifier_grid": classifier(models.gbt_classifier_grid, scale=False),
     "linear_regression_cv": cross_validated(models.linear_regression_cv),
     "glr_cv": cross_validated(models.glr_cv),
+    "linear_regression_line": line(models.linear_regression_grid),
+    "glr_line": line(models.glr_grid),
+    "linear_regression_cv_line": line_cv(models.linear_regression_cv),
+    "glr_cv_line": line_cv(models.glr_cv),
+    "logistic_sides": sides(classification, lambda table: models.logistic_grid(
+        table, {"regParam": [0.0], "elasticNetParam": [0.0]})),
+    "rf_classifier_sides": sides(classification, stump(
+        "RandomForestClassifier", RandomForestClassifier, classification=True)),
+    "gbt_classifier_sides": sides(classification, lambda table: models.gbt_classifier_grid(
+        table, {"maxDepth": [1], "maxIter": [1]})),
+    "rf_regressor_sides": sides(regression, stump(
+        "RandomForestRegressor", RandomForestRegressor, classification=False)),
 }
