@@ -1,24 +1,31 @@
 """Shared scratch folder for tables that cut lineage or feed a second read."""
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of local sessions that named none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine alone.
+    Without that setting, the folder of ``SparkContext.setCheckpointDir`` serves. Only a
+    session whose executors are threads of this process may do without both; it gets a
+    temporary folder of its own, and the context's checkpoint folder stays as it is. On a
+    cluster such a folder would exist on one machine alone, so there it is an error.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="barforge-"))
-        root = context.getCheckpointDir()
+        if context.applicationId not in _OWN_FOLDERS:
+            _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="barforge-")
+        root = _OWN_FOLDERS[context.applicationId]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -130,8 +130,15 @@ def test_scratch_folder_is_the_configured_one():
     cluster = "spark://host:7077"
     assert scratch_path(Session("/shared/x/", cluster), "t").startswith("/shared/x/t-")
     assert scratch_path(Session(None, cluster, "/shared/y"), "t").startswith("/shared/y/t-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session(None, cluster), "t")
+    for master in (cluster, "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Session(None, master), "t")
+
+
+def test_a_local_session_keeps_its_checkpoint_folder(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "t").rsplit("/", 1)[0] == scratch_path(spark, "u").rsplit("/", 1)[0]
+    assert spark.sparkContext.getCheckpointDir() == before
 
 
 def test_stored_table_prunes_by_split(spark):
