@@ -31,8 +31,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from barforge.functions.storage import stored
 
 MAX_SOURCES = 100_000  # sources are weighed one by one: the driver reads a row of each
+MAX_QUOTAS = 20_000_000  # of sources in shards, 8 bytes each; shards grow beyond
 RANK_BITS = 63
-LEVEL_BITS = 16
+LEVEL_BITS = 10
 
 
 def word_count(text: Column) -> Column:
@@ -159,7 +160,7 @@ def rank_of(id: str, text: str, seed: int) -> Column:
 def _cuts(sized: DataFrame, source: str, sources: list, partial: list[float]) -> list[int]:
     """Ranks below which the partial passes take rows: the words come nearest to ``partial``.
 
-    Refines 16 bits of rank a round: words per range are summed, and only rows of the
+    Refines ``LEVEL_BITS`` of rank a round: words per range are summed, and only rows of the
     one range in which a source's sum crosses its aim go on to the next round.
     """
     spark = sized.sparkSession
@@ -196,7 +197,8 @@ def fit_mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: floa
     """Decide the mixture of ``docs``, and the table (id, source, size, rank) it rests on.
 
     ``weights`` repeat over the sources in code point order, null last. A shard has
-    about ``shard_words`` words, a block about ``block_rows`` rows of one source.
+    about ``shard_words`` words, a block about ``block_rows`` rows of one source. Shards
+    become larger where sources times shards would exceed ``MAX_QUOTAS``.
     """
     sized = stored(docs.select(
         F.col(id).alias(id), F.col(source).cast("string").alias(source), word_count(F.col(text)).alias("size"),
@@ -214,7 +216,7 @@ def fit_mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: floa
     blocks = [-(-r.n // block_rows) for r in found]
     partial = [((c - 1 >> 31) * b >> 32) + 1 if c else 0 for c, b in zip(cuts, blocks)]
     quotas = np.array([p * b + q for p, b, q in zip(passes, blocks, partial)], np.int64)
-    shards = max(1, -(-int(sum(targets)) // shard_words))
+    shards = max(1, min(-(-int(sum(targets)) // shard_words), MAX_QUOTAS // max(1, len(found))))
     dealt = split_quotas(quotas, shards, seed)
     table = pd.DataFrame({"source": pd.Series(names, dtype=object), "source_size": sizes, "target": targets,
                           "passes": passes, "cut": cuts, "blocks": blocks})

@@ -97,3 +97,10 @@ def test_too_many_sources_are_refused(spark, monkeypatch):
     monkeypatch.setattr(M, "MAX_SOURCES", 2)
     with pytest.raises(ValueError, match="sources"):
         M.mix_plan(_docs(spark)[0])
+
+
+def test_shards_grow_where_quotas_would_be_too_many(spark, monkeypatch):
+    docs, _ = _docs(spark)
+    assert M.fit_mixture(docs, shard_words=100)[0].shards > 50
+    monkeypatch.setattr(M, "MAX_QUOTAS", 60)
+    assert M.fit_mixture(docs, shard_words=100)[0].shards == 10
