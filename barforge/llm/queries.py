@@ -121,4 +121,3 @@ QUERIES: dict[str, Query] = {
     "op9_licenses": op9_licenses,
     "op10_urls": op10_urls,
 }
-ORACLES: dict[str, str] = {}
