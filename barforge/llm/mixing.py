@@ -32,7 +32,7 @@ from barforge.functions.storage import stored
 
 MAX_SOURCES = 100_000  # sources are weighed one by one: the driver reads a row of each
 MAX_QUOTAS = 20_000_000  # of sources in shards, 8 bytes each; shards grow beyond
-RANK_BITS = 63
+RANK_BITS = 60
 LEVEL_BITS = 10
 
 
@@ -128,7 +128,8 @@ class Mixture:
         mix = F.col("__mix")
         # Copy 0 is the partial pass, in the order that the cut was made in.
         copies = F.filter(F.sequence(F.lit(0), mix.passes), lambda c: (c > 0) | (mix.rank < mix.cut))
-        own = F.when(F.col("copy") == 0, mix.rank).otherwise(_positive(F.xxhash64(mix.rank, "copy")))
+        again = F.shiftrightunsigned(F.xxhash64(mix.rank, "copy"), 64 - RANK_BITS)
+        own = F.when(F.col("copy") == 0, mix.rank).otherwise(again)
         partial = F.when(mix.cut > 0, _block(mix.cut - 1, mix.blocks) + 1).otherwise(0)
         block = F.when(F.col("copy") == 0, _block(own, mix.blocks)).otherwise(
             partial + (F.col("copy") - 1) * mix.blocks + _block(own, mix.blocks))
@@ -143,18 +144,16 @@ class Mixture:
         )
 
 
-def _positive(hash_: Column) -> Column:
-    return F.shiftrightunsigned(hash_, 1)
-
-
 def _block(rank: Column, blocks: Column) -> Column:
     """Which of ``blocks`` equal ranges of ranks holds the rank."""
-    return F.shiftright(F.shiftright(rank, 31) * blocks, 32)
+    return F.shiftright(F.shiftright(rank, RANK_BITS - 32) * blocks, 32)
 
 
 def rank_of(id: str, text: str, seed: int) -> Column:
-    """A row's place in its source's permutation: 63 bits of a keyed hash."""
-    return _positive(F.xxhash64(F.lit(seed), F.col(id), F.xxhash64(F.col(text))))
+    """A row's place in its source's permutation: 60 bits of an MD5, the same in any engine."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id).cast("string"), F.lit("")),
+                               F.coalesce(F.md5(text), F.lit(""))))
+    return F.conv(F.substring(digest, 1, RANK_BITS // 4), 16, 10).cast("bigint")
 
 
 def _cuts(sized: DataFrame, source: str, sources: list, partial: list[float]) -> list[int]:
@@ -214,7 +213,7 @@ def fit_mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: floa
     passes = [int(t // n) if n else 0 for t, n in zip(targets, sizes)]
     cuts = _cuts(sized, source, names, [t - p * n for t, p, n in zip(targets, passes, sizes)])
     blocks = [-(-r.n // block_rows) for r in found]
-    partial = [((c - 1 >> 31) * b >> 32) + 1 if c else 0 for c, b in zip(cuts, blocks)]
+    partial = [((c - 1 >> RANK_BITS - 32) * b >> 32) + 1 if c else 0 for c, b in zip(cuts, blocks)]
     quotas = np.array([p * b + q for p, b, q in zip(passes, blocks, partial)], np.int64)
     shards = max(1, min(-(-int(sum(targets)) // shard_words), MAX_QUOTAS // max(1, len(found))))
     dealt = split_quotas(quotas, shards, seed)

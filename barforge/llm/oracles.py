@@ -4,6 +4,37 @@ Whole numbers that may be missing come as doubles, as missing numbers do in data
 """
 
 from barforge.llm.licenses import TEMPLATES
+from barforge.llm.urls import REJECTED_WORDS
+
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+# Shares of weight, none above three times its source: sources are filled up in the order of
+# their ratio of cap to weight, until what is left, shared by weight, fits all others. The
+# partial pass takes rows by rank up to the one at which its words come nearest to the aim.
+MIXING = """WITH docs AS MATERIALIZED (SELECT doc_id, source, CASE WHEN trim(coalesce(text, ''), e' \\t\\n\\x0B\\f\\r') = '' THEN 0
+    ELSE len(regexp_split_to_array(trim(text, e' \\t\\n\\x0B\\f\\r'), '[\\x20\\x09-\\x0D]+')) END AS size,
+  CAST('0x' || substr(md5('20|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(md5(text), '')), 1, 15) AS BIGINT) AS rank
+  FROM documents),
+sources AS (SELECT source, SUM(size)::BIGINT AS words FROM docs GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+  (SELECT SUM(words) FROM sources) AS total FROM sources),
+ranked AS (SELECT *, row_number() OVER (ORDER BY 3 * words / weight, source) AS k FROM weighed WHERE words > 0),
+filled AS (SELECT *, (total - 3 * coalesce(SUM(words) OVER before, 0))::DOUBLE AS left_over,
+  SUM(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM ranked WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fits AS (SELECT k, left_over, weights FROM filled WHERE left_over * weight / weights <= 3 * words ORDER BY k LIMIT 1),
+aimed AS (SELECT s.source, s.words, CASE WHEN s.words = 0 THEN 0.0 WHEN r.k < f.k THEN 3.0 * s.words
+    ELSE f.left_over * s.weight / f.weights END::DOUBLE AS target
+  FROM weighed s LEFT JOIN ranked r ON r.source IS NOT DISTINCT FROM s.source LEFT JOIN fits f ON TRUE),
+passes AS (SELECT *, CASE WHEN words = 0 THEN 0 ELSE floor(target / words) END AS passes FROM aimed),
+open AS (SELECT *, target - passes * words AS aim FROM passes),
+summed AS (SELECT source, rank, SUM(size) AS own FROM docs GROUP BY source, rank),
+upto AS (SELECT s.source, rank, aim, own, SUM(own) OVER (PARTITION BY s.source ORDER BY rank) AS upto
+  FROM summed s JOIN open o ON o.source IS NOT DISTINCT FROM s.source),
+cut AS (SELECT source, min(rank) AS rank, min_by(upto - aim < aim - (upto - own), rank) AS within
+  FROM upto WHERE aim > 0 AND upto >= aim GROUP BY source)
+SELECT doc_id, size, o.words AS source_size, target,
+  (size * (passes + CASE WHEN d.rank < c.rank OR (d.rank = c.rank AND within) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM docs d JOIN open o ON o.source IS NOT DISTINCT FROM d.source LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM d.source"""
 
 RARE_WORDS, SHARE = 8, 0.7
 
@@ -40,6 +71,60 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM docs LEFT JOIN summed USING (rid)"""
 
 
+BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
+ORDER, BACK, UNIFORM = 4, 5, 1 / 256
+
+
+def _fits(rule: str) -> str:
+    host, path = rule.split("/", 1)
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+
+
+def _urls() -> str:
+    """Models as a chain of tables: the probability after k characters from that after k - 1."""
+    rules = " ".join(f"WHEN {_fits(r)} THEN '{r}'" for r in sorted(BLOCK + ALLOW, key=len, reverse=True))
+    words = " OR ".join(f"contains(host, '{w}')" for w in REJECTED_WORDS)
+    seen = " UNION ALL ".join(f"SELECT right(gram, {k}) AS suffix, a, r FROM counted WHERE a + r > 0" for k in range(1, ORDER + 2))
+
+    def step(k: int, c: str) -> str:
+        below = f"b.p{c}" if k > 1 else f"{UNIFORM!r}::DOUBLE"
+        return (f"CASE WHEN coalesce(n{c}, 0) = 0 THEN {below} ELSE "
+                f"(coalesce(s.{c}, 0) + t{c} * {below}) / (n{c} + t{c}) END AS p{c}")
+
+    levels = ",\n".join(f"""l{k} AS MATERIALIZED (SELECT x.suffix, {step(k, "a")}, {step(k, "r")}
+  FROM (SELECT DISTINCT right(gram, {k}) AS suffix FROM counted) x LEFT JOIN seen s USING (suffix)
+  LEFT JOIN context c ON c.context = left(x.suffix, {k - 1})
+  {f"JOIN l{k - 1} b ON b.suffix = right(x.suffix, {k - 1})" if k > 1 else ""})""" for k in range(1, ORDER + 2))
+    blocked = ", ".join(f"'{b}'" for b in BLOCK)
+    return f"""WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parted AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+page AS (SELECT page_id, translate(raw, {LOWER}) AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM parted),
+judged AS MATERIALIZED (SELECT *, host || translate(path, {LOWER}) AS chars, CASE {rules} END AS rule,
+  CAST('0x' || substr(md5('3|' || host), 1, 8) AS BIGINT) % {BACK} = 0 AS back FROM page),
+told AS (SELECT *, coalesce(rule IN ({blocked}), FALSE) OR {words} AS rejected FROM judged),
+url AS MATERIALIZED (SELECT chars, COUNT(*) FILTER (NOT rejected AND NOT back) AS a, COUNT(*) FILTER (rejected AND NOT back) AS r,
+  COUNT(*) FILTER (NOT rejected AND back) AS back_a, COUNT(*) FILTER (rejected AND back) AS back_r FROM told GROUP BY chars),
+gram AS MATERIALIZED (SELECT chars, a, r, substr(repeat(chr(2), {ORDER}) || chars || chr(3), i, {ORDER + 1}) AS gram
+  FROM (SELECT *, unnest(range(1, length(chars) + 2)) AS i FROM url) u),
+counted AS MATERIALIZED (SELECT gram, SUM(a) AS a, SUM(r) AS r FROM gram GROUP BY gram),
+seen AS MATERIALIZED (SELECT suffix, SUM(a) AS a, SUM(r) AS r FROM ({seen}) x GROUP BY suffix),
+context AS MATERIALIZED (SELECT left(suffix, length(suffix) - 1) AS context, SUM(a) AS na, SUM(r) AS nr,
+  COUNT(*) FILTER (a > 0) AS ta, COUNT(*) FILTER (r > 0) AS tr FROM seen GROUP BY 1),
+{levels},
+score AS MATERIALIZED (SELECT chars, avg(ln(pa) - ln(pr)) AS score FROM gram JOIN l{ORDER + 1} l ON l.suffix = gram GROUP BY chars),
+bin AS (SELECT floor((least(greatest(score, -10), 10) + 10) * 100) AS bin, SUM(back_a) AS a, SUM(back_r) AS r
+  FROM score JOIN url USING (chars) GROUP BY 1),
+border AS (SELECT b, SUM(CASE WHEN bin < b THEN a ELSE 0 END) / nullif(SUM(a), 0) + SUM(CASE WHEN bin >= b THEN r ELSE 0 END) / nullif(SUM(r), 0) AS e
+  FROM bin, (SELECT unnest(range(0, 2002)) AS b) x GROUP BY b),
+best AS (SELECT list(b ORDER BY b) AS good FROM border WHERE e <= (SELECT min(e) FROM border) + 1e-12),
+threshold AS (SELECT coalesce(good[len(good) // 2 + 1] * 0.01 - 10, 0)::DOUBLE AS least FROM best)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ({blocked}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN score >= least THEN 'allow' ELSE 'block' END AS verdict, round(score, 6) AS score
+FROM judged JOIN score USING (chars), threshold"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_mixing": MIXING,
+    "op10_urls": _urls(),
     "op9_licenses": _licenses(),
 }

@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mixture of all documents takes of each."""
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
-    return plan.withColumn("taken", F.col("size") * F.col("copies"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,8 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge_urls(
-        pages, block=("net/", "example.com/de/"), allow=("example.net/en/", "org/fr/")).drop("url")
+        pages, block=("net/", "example.com/de/"), allow=("example.net/en/", "org/fr/")).select(
+            "page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
 
 
 QUERIES: dict[str, Query] = {

@@ -74,15 +74,3 @@ def test_query_equals_the_plain_rules(spark):
         base = sorted({named[p] for p, s in places.items() if s})
         assert r.base_labels == ",".join(base) and set(base) <= set(r.labels.split(",") if r.labels else [])
         assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
-
-
-def test_query_equals_its_sql(spark):
-    import duckdb
-
-    from barforge.llm.oracles import ORACLES
-    from compare import _normal
-
-    con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
-    got = QUERIES["op9_licenses"](spark, "/root/testdata/sf0.001").toPandas()
-    assert _normal(got) == _normal(con.execute(ORACLES["op9_licenses"]).df())
