@@ -197,7 +197,9 @@ def near_links(fingerprints: DataFrame, max_bits: int = 3, chunk_rows: int = 204
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()), pa.array(np.repeat(fps, keys.shape[1]))], ["key", "fp"])
 
-    distinct = fingerprints.select("fp").where("fp is not null").distinct()
+    # Partitions given by number are not merged: small rows, but much work for each.
+    parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = fingerprints.select("fp").where("fp is not null").distinct().repartition(parts, "fp")
     dealt = distinct.mapInArrow(deal, "key bigint, fp bigint")
     shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / chunk_rows).cast("int")
@@ -207,7 +209,7 @@ def near_links(fingerprints: DataFrame, max_bits: int = 3, chunk_rows: int = 204
         .select("key", "fp", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
         .select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
                 "chunk", "fp")
-        .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        .repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
     )
     return blocks.mapInArrow(_link_blocks(pivots), "a bigint, b bigint")
 
