@@ -71,6 +71,40 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM docs LEFT JOIN summed USING (rid)"""
 
 
+# Item-sized windows, aligned by every fourth shingle of an item, against the items of their
+# length, without fingerprints: they lose no passage that is similar enough.
+def _plain_words(column: str) -> str:
+    return f"""list_filter(regexp_split_to_array(translate(coalesce({column}, ''), {LOWER}),
+  '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+
+def _shingled(source: str, keys: str) -> str:
+    return f"""SELECT {keys}, i, array_to_string(w[i + 1:i + 5], ' ') AS shingle
+  FROM (SELECT *, unnest(range(0, len(w) - 4)) AS i FROM {source}) u"""
+
+
+LEAKS = f"""WITH docs AS MATERIALIZED (SELECT rid, any_value(doc_id) AS doc_id, any_value(w) AS w FROM (
+  SELECT dense_rank() OVER (ORDER BY doc_id, text) AS rid, doc_id, {_plain_words("text")} AS w FROM documents) d GROUP BY rid),
+whole AS (SELECT item_id, w, ceil(len(w) / 128)::INT AS parts FROM (
+  SELECT item_id, {_plain_words("text")} AS w FROM benchmark) b WHERE len(w) >= 5),
+part AS MATERIALIZED (SELECT DISTINCT item_id, part, w[(part * len(w)) // parts + 1:((part + 1) * len(w)) // parts] AS w
+  FROM (SELECT *, unnest(range(0, parts)) AS part FROM whole) p),
+item AS MATERIALIZED (SELECT *, row_number() OVER () AS iid, len(w) AS length FROM part),
+item_shingle AS MATERIALIZED ({_shingled("item", "iid, length")}),
+doc_shingle AS MATERIALIZED (SELECT * FROM ({_shingled("docs", "rid")}) s WHERE shingle IN (SELECT shingle FROM item_shingle)),
+win AS MATERIALIZED (SELECT DISTINCT rid, d.i - a.i AS start, a.length
+  FROM doc_shingle d JOIN item_shingle a USING (shingle) WHERE a.i % 4 = 0),
+sized AS (SELECT win.*, least(len(w), start + length) - greatest(start, 0) - 4 AS n FROM win JOIN docs USING (rid)),
+in_win AS (SELECT s.rid, start, length, n, shingle, COUNT(*) AS have FROM sized s JOIN doc_shingle d ON d.rid = s.rid
+  AND d.i BETWEEN greatest(start, 0) AND start + length - 5 WHERE n > 0 GROUP BY ALL),
+in_item AS (SELECT iid, length, shingle, COUNT(*) AS want FROM item_shingle GROUP BY ALL),
+shared AS (SELECT rid, iid, start, x.length, n, SUM(least(have, want)) AS common
+  FROM in_win x JOIN in_item y ON y.shingle = x.shingle AND y.length = x.length GROUP BY ALL),
+alike AS (SELECT *, common::DOUBLE / (n + length - 4 - common) AS similarity FROM shared)
+SELECT doc_id, item_id, part, b.start, b.length, b.similarity FROM (
+  SELECT rid, iid, max_by({{'start': start, 'length': length, 'similarity': similarity}}, [similarity, -start]) AS b
+  FROM alike WHERE similarity >= 0.8 GROUP BY rid, iid) x JOIN docs USING (rid) JOIN item USING (iid)"""
+
 BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
 ORDER, BACK, UNIFORM = 4, 5, 1 / 256
 
@@ -125,6 +159,7 @@ FROM judged JOIN score USING (chars), threshold"""
 
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
+    "op3_decontamination": LEAKS,
     "op10_urls": _urls(),
     "op9_licenses": _licenses(),
 }

@@ -31,7 +31,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in documents: five-word shingles, similarity of 0.8 or more."""
     found = decontaminate.find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, similarity=0.8)
-    return found.select("doc_id", "item_id", "part", "start", "length", "bits", "similarity")
+    return found.select("doc_id", "item_id", *(F.col(c).cast("bigint").alias(c) for c in ("part", "start", "length")), "similarity")
 
 
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
