@@ -2,6 +2,7 @@
 
 import math
 
+# Feature names, in the order of the vectors.
 FEATURES = [
     "DateMonthSin", "DateMonthCos", "DateDaySin", "DateDayCos", "DayOfWeekSin", "DayOfWeekCos",
     "ret_1", "ret_2", "ret_5", "ret_10", "ret_20", "ret_40",
