@@ -105,6 +105,60 @@ SELECT doc_id, item_id, part, b.start, b.length, b.similarity FROM (
   SELECT rid, iid, max_by({{'start': start, 'length': length, 'similarity': similarity}}, [similarity, -start]) AS b
   FROM alike WHERE similarity >= 0.8 GROUP BY rid, iid) x JOIN docs USING (rid) JOIN item USING (iid)"""
 
+# Secrets: matches and the pieces between them give the places; entropies are counted window by window.
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+ASSIGN = ("(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+          + """)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def _placed(source: str, column: str, pattern: str, keys: str, group: int = 0) -> str:
+    """(keys, hit, part, start) of each match in a column; ``part`` is a group of it."""
+    return f"""SELECT {keys}, m[j] AS hit, g[j] AS part, (SUM(len(p[j]) + CASE WHEN j > 1 THEN len(m[j - 1]) ELSE 0 END) OVER (
+    PARTITION BY {keys} ORDER BY j))::BIGINT AS start
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS j FROM (SELECT *, regexp_extract_all({column}, '{pattern}') AS m,
+    regexp_extract_all({column}, '{pattern}', {group}) AS g, regexp_split_to_array({column}, '{pattern}') AS p FROM {source}) x) y"""
+
+
+def _hot(runs: str, bits: float) -> str:
+    """Stretches of hot windows in runs (rid, cand, spot, run), ``spot`` being the run's place in the text."""
+    return f"""SELECT rid, cand, spot + min(i) AS start, spot + max(i) + 20 AS stop FROM (
+  SELECT *, SUM(fresh) OVER (PARTITION BY rid, cand, spot ORDER BY i) AS stretch FROM (
+    SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY rid, cand, spot ORDER BY i) + 20 THEN 1 ELSE 0 END AS fresh FROM (
+      SELECT rid, cand, spot, i FROM (SELECT rid, cand, spot, i, c, COUNT(*) AS n FROM (
+        SELECT rid, cand, spot, i, unnest(string_split(substr(run, i + 1, 20), '')) AS c FROM (
+          SELECT *, unnest(range(0, len(run) - 19)) AS i FROM {runs}) w) l GROUP BY ALL) k
+      GROUP BY rid, cand, spot, i HAVING SUM(n * log2(n)) <= (log2(20) - {bits}) * 20 + 1e-9) h) f) s GROUP BY rid, cand, spot, stretch"""
+
+
+MIXED = "regexp_matches({0}, '[0-9]') AND regexp_matches({0}, '[A-Za-z]')"
+SECRETS = f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+known AS MATERIALIZED (
+  SELECT rid, 'assign' AS kind, 0 AS k, start, start + len(hit) AS stop FROM ({_placed("docs", "text", ASSIGN, "rid", 2)}) a WHERE len(part) >= 8
+  UNION ALL SELECT rid, 'access', 1, start, start + len(hit) FROM ({_placed("docs", "text", "AKIA[A-Z0-9]+", "rid")}) b WHERE len(hit) >= 16
+  UNION ALL SELECT rid, 'hex', 2, start, start + len(hit) FROM ({_placed("docs", "text", "[0-9a-f]{32,}", "rid")}) c),
+candidate AS MATERIALIZED (SELECT rid, start AS cand, hit FROM ({_placed("docs", "text", "[A-Za-z0-9+/_=-]{20,}", "rid")}) c JOIN docs USING (rid)
+  WHERE {MIXED.format("hit")} AND NOT regexp_matches(hit, '[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}')
+  AND NOT regexp_matches(lower(hit), '0123456789|123456789[0a]|abcdefghij|qwertyuiop|example|sample|placeholder|changeme|dummy|xxxx')
+  AND NOT regexp_matches(lower(substr(text, greatest(start - 24, 0) + 1, least(start, 24))),
+    '(md5|sha-?1|sha-?256|sha-?512|commit|checksum|digest|integrity|etag)["'']?\\s*[:= -]\\s*["'']?$')),
+hex_run AS (SELECT rid, cand, cand + start AS spot, hit AS run FROM ({_placed("candidate", "hit", "[0-9A-Fa-f]{20,}", "rid, cand")}) h),
+base_run AS (SELECT rid, cand, cand AS spot, hit AS run FROM candidate),
+hexes AS MATERIALIZED (SELECT h.* FROM ({_hot("hex_run", 2.9)}) h JOIN docs USING (rid) WHERE {MIXED.format("substr(text, start + 1, stop - start)")}),
+bases AS MATERIALIZED (SELECT h.* FROM ({_hot("base_run", 3.75)}) h JOIN docs USING (rid) WHERE {MIXED.format("substr(text, start + 1, stop - start)")}),
+found AS (SELECT rid, 'entropy_hex' AS kind, 3 AS k, start, stop FROM hexes
+  UNION ALL SELECT rid, 'entropy_base64', 4, start, stop FROM bases b WHERE NOT EXISTS (
+    SELECT 1 FROM hexes h WHERE h.rid = b.rid AND h.cand = b.cand AND b.start < h.stop AND h.start < b.stop)),
+span AS MATERIALIZED (SELECT * FROM known UNION ALL SELECT * FROM found f WHERE NOT EXISTS (
+  SELECT 1 FROM known n WHERE n.rid = f.rid AND f.start < n.stop AND n.start < f.stop)),
+summed AS (SELECT rid, COUNT(*) FILTER (k = 0) AS n_assign, COUNT(*) FILTER (k = 1) AS n_access, COUNT(*) FILTER (k = 2) AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3) AS base,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM span GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN summed USING (rid)"""
+
 BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
 ORDER, BACK, UNIFORM = 4, 5, 1 / 256
 
@@ -160,6 +214,7 @@ FROM judged JOIN score USING (chars), threshold"""
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
     "op3_decontamination": LEAKS,
+    "op7_secrets": SECRETS,
     "op10_urls": _urls(),
     "op9_licenses": _licenses(),
 }
