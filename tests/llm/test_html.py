@@ -2,7 +2,6 @@ import html as entities
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from barforge.llm import html as H
 
