@@ -12,6 +12,7 @@ COMPARED = [
     "binary_balance", "clean_market_data", "min_rows_filter", "prepared_features",
     "prepared_legacy", "numeric_quantiles", "column_summary", "label_distribution",
     "history_coverage", "eligible_symbols", "auc_exact", "results_leaderboard", "file_audit",
+    "load_coherent_bars", "eligible_roundtrip", "moving_averages", "glr_line", "gbt_classifier_sides",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
