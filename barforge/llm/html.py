@@ -41,11 +41,13 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY = frozenset("nav aside footer form button select textarea fieldset menu dialog datalist".split())
 ARTICLE = frozenset("article main".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-# Of a class or id, words that name what is no part of an article; the second list by their beginning.
+# Of a class or id, words that name what is no part of an article; the other lists by their beginning and end.
 AWAY_WORDS = frozenset("""ad ads adv menu nav navbar navigation header masthead form search share shares sharing social related
 recommended recommendations login signup signin register subscribe subscription popup modal overlay notice notices alert
 alerts consent gdpr pager pagination toolbar copyright respond reply replies rail tags widget widgets""".split())
-AWAY_BEGINNINGS = ("advert", "sponsor", "cookie", "breadcrumb", "newsletter", "sidebar", "footer", "promo", "banner", "comment", "disqus")
+AWAY_BEGINNINGS = ("advert", "sponsor", "cookie", "breadcrumb", "newsletter", "sidebar", "footer", "promo", "banner", "comment", "disqus",
+                   "adsense", "adsby", "adslot", "adunit", "adbox")
+AWAY_ENDINGS = ("nav", "menu", "sidebar", "footer", "banner", "breadcrumbs")
 ARTICLE_NAMES = frozenset("""article post entry story content main article-body article-content articlebody post-body post-content
 entry-content main-content story-body""".split())
 KEEP_BEFORE = frozenset("has with no without".split())
@@ -180,7 +182,7 @@ def _is_away(name: str, told: dict[str, str], in_article: bool) -> bool:
         for w in words:
             if w == "header" and in_article:
                 continue
-            if w in AWAY_WORDS or w.startswith(AWAY_BEGINNINGS):
+            if w in AWAY_WORDS or w.startswith(AWAY_BEGINNINGS) or w.endswith(AWAY_ENDINGS):
                 return True
     return False
 

@@ -34,6 +34,18 @@ def test_pages_without_an_article_go_by_density_and_neighbours():
     assert H.main_text("<p>Hi.") == "Hi." and H.main_text("just text &lt; here") == "just text < here"
 
 
+@pytest.mark.parametrize("attributes", [
+    'class="ad"', 'id="adslot-3"', 'class="topnav"', 'class="site-header"', 'class="cookie-notice"', 'id="comment-12"',
+    'role="navigation"', 'hidden', 'style="display: none"', 'class="right-sidebar"', 'class="newsletter-signup"'])
+def test_parts_that_are_no_text_are_left_out_by_name(attributes):
+    assert H.main_text(page(f"<div {attributes}><p>{PROSE}</p></div><div><p>{PROSE} Stays.</p></div>")) == PROSE + " Stays."
+
+
+@pytest.mark.parametrize("attributes", ['class="has-sidebar"', 'id="content"', 'class="post-body"', 'class="advice"', ''])
+def test_parts_that_only_look_alike_stay(attributes):
+    assert H.main_text(page(f"<div {attributes}><p>{PROSE}</p></div>")) == PROSE
+
+
 def test_blocks_carry_their_labels():
     blocks = H.classify(H.page_blocks(f"<nav>a</nav><main><p>{PROSE}</p><p>b</p></main>"))
     assert [(b.text, b.good) for b in blocks] == [("a", False), (PROSE, True), ("b", True)]
