@@ -40,12 +40,17 @@ def over_history(
     task gets the whole symbol, nor a whole day of it. Rows without a symbol are a
     symbol of their own.
     ``sized_by`` may name a frame with at least as many rows per symbol as ``df``
-    whose counts are cheaper to get (the bars before cleaning, say).
+    whose counts are cheaper to get (the bars before cleaning, say). If it has fewer and
+    a history is longer than ``max_rows`` after all, reading the result is an error.
     """
     sizes = (df if sized_by is None else sized_by).groupBy("Symbol").count()
     whole = in_date_order(df, "Symbol")
     if sizes.where(F.col("count") > max_rows).isEmpty():
-        return _added(df, add_columns, whole, min_rows)
+        if sized_by is None:
+            return _added(df, add_columns, whole, min_rows)
+        counted = df.withColumn("history_row", F.row_number().over(whole))
+        broken = F.assert_true(F.col("history_row") <= max_rows, F.lit("sized_by has fewer rows than a symbol's history"))
+        return _added(counted, add_columns, whole, min_rows).where(broken.isNull()).drop("history_row")
 
     long = stored(
         df.groupBy(F.col("Symbol").alias("long_symbol")).agg(F.count(F.lit(1)).alias("symbol_rows"))

@@ -92,6 +92,14 @@ def test_blocks_keep_every_row_once_and_in_one_order(spark, case):
     assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
 
 
+def test_a_wrong_size_is_an_error(spark):
+    df = _numbered(spark, 500, 2)
+    few = df.limit(10)
+    assert over_history(df, lambda d, w: d, sized_by=df, max_rows=500).count() == 500
+    with pytest.raises(Exception, match="sized_by"):
+        over_history(df, lambda d, w: d, sized_by=few, max_rows=100).collect()
+
+
 def test_a_long_day_is_dealt_out(spark):
     """No block gets more than its rows and those its windows look at."""
     sizes = []
