@@ -228,6 +228,31 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float =
     return mixture.plan(sized)
 
 
+def words_taken(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3, **options) -> DataFrame:
+    """id, size, source_size, target and words taken per row of ``docs``, counted in the dealt mixture.
+
+    Rows equal in id, source and text share the words of their copies evenly; rows of no
+    copy have 0.
+    """
+    mixture, sized = fit_mixture(docs, weights, cap, **options)
+    id, source, text = mixture.id, mixture.source, mixture.text
+    dealt = mixture.mixed(docs.select(F.col(id).alias(id), F.col(source).cast("string").alias(source), F.col(text).alias(text)))
+    counted = dealt.select(
+        F.col(id).alias("__id"), F.col(source).alias("__from"), rank_of(id, text, mixture.seed).alias("__rank"),
+        word_count(F.col(text)).alias("words")).groupBy("__id", "__from", "__rank").agg(F.sum("words").alias("words"))
+    alike = sized.groupBy(F.col(id).alias("__id"), F.col(source).alias("__from"), F.col("rank").alias("__rank")).agg(
+        F.count("*").alias("rows"))
+
+    def same(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
+        return (a["__rank"] == b[names[2]]) & a["__id"].eqNullSafe(b[names[0]]) & a["__from"].eqNullSafe(b[names[1]])
+
+    shares = counted.join(alike, same(counted, alike, ("__id", "__from", "__rank"))).select(
+        counted["__id"], counted["__from"], counted["__rank"], F.expr("words div rows").alias("taken"))
+    rows = mixture._decided(sized, F.col("rank"))
+    return rows.join(shares, same(shares, rows, (id, source, "rank")), "left").select(
+        rows[id], "size", F.col("__mix.source_size"), F.col("__mix.target"), F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3, **options) -> DataFrame:
     """The mixed rows of ``docs`` by shard, shuffled within each."""
     return fit_mixture(docs, weights, cap, **options)[0].mixed(docs)

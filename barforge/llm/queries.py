@@ -15,9 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mixture of all documents takes of each."""
-    plan = mixing.mix_plan(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    """Words of each document in the dealt mixture of all."""
+    return mixing.words_taken(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

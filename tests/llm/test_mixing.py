@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barforge.llm import mixing as M
 
@@ -104,3 +105,22 @@ def test_shards_grow_where_quotas_would_be_too_many(spark, monkeypatch):
     assert M.fit_mixture(docs, shard_words=100)[0].shards > 50
     monkeypatch.setattr(M, "MAX_QUOTAS", 60)
     assert M.fit_mixture(docs, shard_words=100)[0].shards == 10
+
+
+def test_words_are_counted_in_the_dealt_mixture(spark, monkeypatch):
+    docs, rows = _docs(spark)
+    docs = docs.unionByName(docs.where("doc_id < 20"))
+    plan = M.mix_plan(docs, shard_words=1500, block_rows=4).collect()
+    want = Counter((r.doc_id, r["size"], r.source_size, r.target, r["size"] * r.copies) for r in plan)
+    assert Counter(map(tuple, M.words_taken(docs, shard_words=1500, block_rows=4).collect())) == want
+    whole = M.Mixture.mixed
+    monkeypatch.setattr(M.Mixture, "mixed", lambda self, docs: whole(self, docs).where("shard <> 1"))
+    kept = {r[0] for r in M.words_taken(docs, shard_words=1500, block_rows=4).where("taken > 0").collect()}
+    assert kept < {k[0] for k in want if k[4]}
+
+
+def test_the_query_follows_the_dealt_mixture(spark, monkeypatch):
+    from barforge.llm.queries import QUERIES
+
+    monkeypatch.setattr(M.Mixture, "mixed", lambda self, docs: docs.select("*", *(F.lit(0).alias(c) for c in ("shard", "copy"))).limit(0))
+    assert {r.taken for r in QUERIES["op1_mixing"](spark, "/root/testdata/sf0.001").collect()} == {0}
