@@ -122,6 +122,18 @@ def _allowed(text: str, start: int, end: int, allow: Sequence[re.Pattern[str]])
                 or any(p.search(text, start, end) for p in allow))
 
 
+def _hot_spans(text: str, start: int, end: int, classes: Sequence[TokenClass]) -> list[Span]:
+    """Hot stretches of a piece of token characters; a wider class adds only what does not overlap."""
+    own: list[Span] = []
+    for c in classes:
+        for run in c.runs.finditer(text, start, end):
+            for begin, stop in hot_stretches(run[0], c.window, c.bits):
+                begin, stop = run.start() + begin, run.start() + stop
+                if _mixed(text[begin:stop]) and not any(begin < e and s < stop for _, s, e in own):
+                    own.append((c.kind, begin, stop))
+    return own
+
+
 def entropy_spans(text: str, classes: Sequence[TokenClass] = CLASSES,
                   allow: Sequence[re.Pattern[str]] = ALLOWED) -> list[Span]:
     """Stretches of high entropy in long token strings, letters and digits mixed.
@@ -132,16 +144,7 @@ def entropy_spans(text: str, classes: Sequence[TokenClass] = CLASSES,
     for candidate in CANDIDATE.finditer(text):
         if not _mixed(candidate[0]) or _allowed(text, *candidate.span(), allow):
             continue
-        own: list[Span] = []
-        for c in classes:
-            for run in c.runs.finditer(candidate[0]):
-                for begin, end in hot_stretches(run[0], c.window, c.bits):
-                    start = candidate.start() + run.start() + begin
-                    stop = candidate.start() + run.start() + end
-                    if (_mixed(text[start:stop]) and not any(
-                            start < e and s < stop for _, s, e in own)):
-                        own.append((c.kind, start, stop))
-        found += own
+        found += _hot_spans(text, *candidate.span(), classes)
     return found
 
 
@@ -158,12 +161,35 @@ def secret_spans(text: str | None) -> list[Span]:
     return sorted(known + more, key=lambda s: (s[1], ORDER[s[0]]))
 
 
+def hidden_spans(text: str | None, classes: Sequence[TokenClass] = CLASSES,
+                 allow: Sequence[re.Pattern[str]] = ALLOWED) -> list[Span]:
+    """What redaction covers: ``secret_spans``, and what they leave out of a candidate beside
+    the stretches that the allow-list explains, which are cut out and the rest measured.
+
+    ``secret_spans`` follow the registered SQL, where one such stretch clears a candidate.
+    """
+    if not text:
+        return []
+    found = secret_spans(text)
+    for candidate in CANDIDATE.finditer(text):
+        start, end = candidate.span()
+        explained = sorted(m.span() for p in allow for m in p.finditer(text, start, end))
+        if not explained or DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start]):
+            continue
+        at, own = start, []
+        for begin, stop in [*explained, (end, end)]:
+            own += _hot_spans(text, at, max(at, begin), classes)
+            at = max(at, stop)
+        found += [s for s in own if not any(s[1] < e and b < s[2] for _, b, e in found)]
+    return sorted(found, key=lambda s: (s[1], ORDER[s[0]]))
+
+
 def redacted(text: str | None) -> str | None:
-    """The text with every stretch covered by spans replaced by one mark."""
+    """The text with every stretch covered by hidden spans replaced by one mark."""
     if not text:
         return text
     pieces, at = [], 0
-    for _, start, end in secret_spans(text):
+    for _, start, end in hidden_spans(text):
         if start >= at:
             pieces += [text[at:start], REDACTED]
         at = max(at, end)

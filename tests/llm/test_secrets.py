@@ -78,3 +78,21 @@ def test_query_equals_the_plain_rules(spark):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in known)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+KEY = "q7Zp0Lw3Vx9Tb1Rk5Ns8Hd2Gf4Jc6Mya"
+
+
+def test_an_allowed_match_clears_only_itself():
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    for before, after in ((f"/v1/{uuid}/", ""), ("backup_samples/", ""), ("", f"/{uuid}"), ("a/example/", "/xxxx")):
+        text = f"see {before}{KEY}{after} end"
+        assert S.secret_spans(text) == []  # as in the registered SQL
+        clean = S.redacted(text)
+        assert S.REDACTED in clean and all(KEY[i:i + 8] not in clean for i in range(len(KEY) - 7)), clean
+        assert uuid not in text or uuid in clean
+    rng = random.Random(3)
+    run = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(20_000))
+    assert len(S.redacted(run + "xxxx" + run)) < 200
+    for clean in (f"id {uuid} here", "0123456789abcdefghijklmnopqrstuvwxyz", f"commit {KEY}xxxx", "sample_" * 9 + "1"):
+        assert S.redacted(clean) == clean
