@@ -122,14 +122,14 @@ def _allowed(text: str, start: int, end: int, allow: Sequence[re.Pattern[str]])
                 or any(p.search(text, start, end) for p in allow))
 
 
-def _hot_spans(text: str, start: int, end: int, classes: Sequence[TokenClass]) -> list[Span]:
-    """Hot stretches of a piece of token characters; a wider class adds only what does not overlap."""
+def _hot_spans(text: str, start: int, end: int, classes: Sequence[TokenClass], apart: bool = True) -> list[Span]:
+    """Hot stretches of a piece of token characters; ``apart``, a wider class adds only what does not overlap."""
     own: list[Span] = []
     for c in classes:
         for run in c.runs.finditer(text, start, end):
             for begin, stop in hot_stretches(run[0], c.window, c.bits):
                 begin, stop = run.start() + begin, run.start() + stop
-                if _mixed(text[begin:stop]) and not any(begin < e and s < stop for _, s, e in own):
+                if _mixed(text[begin:stop]) and not (apart and any(begin < e and s < stop for _, s, e in own)):
                     own.append((c.kind, begin, stop))
     return own
 
@@ -163,24 +163,23 @@ def secret_spans(text: str | None) -> list[Span]:
 
 def hidden_spans(text: str | None, classes: Sequence[TokenClass] = CLASSES,
                  allow: Sequence[re.Pattern[str]] = ALLOWED) -> list[Span]:
-    """What redaction covers: ``secret_spans``, and what they leave out of a candidate beside
-    the stretches that the allow-list explains, which are cut out and the rest measured.
+    """What redaction covers: known shapes and every hot stretch, also where they overlap.
 
-    ``secret_spans`` follow the registered SQL, where one such stretch clears a candidate.
+    Stretches that the allow-list explains are cut out of a candidate and the rest is
+    measured. ``secret_spans`` report less, as the registered SQL does: there one such
+    stretch clears its candidate, and of overlapping spans one stands for all.
     """
     if not text:
         return []
-    found = secret_spans(text)
+    found = known_spans(text)
     for candidate in CANDIDATE.finditer(text):
         start, end = candidate.span()
-        explained = sorted(m.span() for p in allow for m in p.finditer(text, start, end))
-        if not explained or DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start]):
+        if not _mixed(candidate[0]) or DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start]):
             continue
-        at, own = start, []
-        for begin, stop in [*explained, (end, end)]:
-            own += _hot_spans(text, at, max(at, begin), classes)
+        at = start
+        for begin, stop in [*sorted(m.span() for p in allow for m in p.finditer(text, start, end)), (end, end)]:
+            found += _hot_spans(text, at, max(at, begin), classes, apart=False)
             at = max(at, stop)
-        found += [s for s in own if not any(s[1] < e and b < s[2] for _, b, e in found)]
     return sorted(found, key=lambda s: (s[1], ORDER[s[0]]))
 
 

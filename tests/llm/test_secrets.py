@@ -96,3 +96,16 @@ def test_an_allowed_match_clears_only_itself():
     assert len(S.redacted(run + "xxxx" + run)) < 200
     for clean in (f"id {uuid} here", "0123456789abcdefghijklmnopqrstuvwxyz", f"commit {KEY}xxxx", "sample_" * 9 + "1"):
         assert S.redacted(clean) == clean
+
+
+def test_what_overlaps_a_span_is_masked_too():
+    for inner in ("0123e4567f89b12d3a456c42661417400", "AKIAB7CD9EF2GH4J", "0a1b2c3d4e5f60718293a4b5c6d7e8f9"):
+        text = f"see {KEY}{inner}{KEY[::-1]} end"
+        clean = S.redacted(text)
+        assert clean.startswith("see ") and clean.endswith(" end") and S.REDACTED in clean
+        assert len(clean) < 30, clean
+    rng = random.Random(5)
+    for _ in range(300):  # nothing that is reported stays
+        text = "".join(rng.choice([KEY, "password=", "AKIA" + "B7CD" * 4, "0a1b2c3d" * 4, " ", "example", "/", "\n"]) for _ in range(8))
+        hidden = {p for _, a, b in S.hidden_spans(text) for p in range(a, b)}
+        assert hidden >= {p for _, a, b in S.secret_spans(text) for p in range(a, b)}, text
