@@ -36,6 +36,31 @@ SELECT doc_id, size, o.words AS source_size, target,
   (size * (passes + CASE WHEN d.rank < c.rank OR (d.rank = c.rank AND within) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM docs d JOIN open o ON o.source IS NOT DISTINCT FROM d.source LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM d.source"""
 
+# The checksum is worked out byte by byte from the table of its polynomial; near words share
+# a word with one letter cut out, at the same place where they have one length.
+SPELLING = """WITH RECURSIVE bits(i, k, c) AS (SELECT i, 0, i::UBIGINT FROM range(256) t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+long AS (SELECT id, run, list_transform(string_split(id || ':' || run, ''), lambda x: unicode(x)) AS points FROM runs WHERE length(run) >= 7),
+bytes AS (SELECT run, flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END)) AS b FROM long),
+hashed AS (SELECT run, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c & 255, x::UBIGINT)::BIGINT + 1]), 4294967295::UBIGINT),
+  4294967295::UBIGINT) AS h FROM bytes, crc),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN run[:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, COUNT(*) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING COUNT(*) >= 2),
+holes AS MATERIALIZED (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) w),
+pairs AS (SELECT a.word AS u, b.word AS v, b.n AS vn FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.rest = w.word
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.rest = w.word),
+near AS (SELECT u, COUNT(*) AS n_near, max(vn) AS best_n FROM pairs GROUP BY u),
+first AS (SELECT u, min(v) AS best FROM pairs JOIN near USING (u) WHERE vn = best_n GROUP BY u),
+told AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+  CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM words LEFT JOIN near ON u = word LEFT JOIN first USING (u)),
+steps(word, spot, k) AS (SELECT word, word, 0 FROM told UNION ALL
+  SELECT s.word, t.form, k + 1 FROM steps s JOIN told t ON t.word = s.spot WHERE t.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n::DOUBLE AS form_n FROM told JOIN (SELECT word, arg_max(spot, k) AS root FROM steps GROUP BY word) r USING (word)"""
+
 RARE_WORDS, SHARE = 8, 0.7
 
 
@@ -217,4 +242,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": SECRETS,
     "op10_urls": _urls(),
     "op9_licenses": _licenses(),
+    "op12_spelling": SPELLING,
 }

@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barforge.functions.storage import stored
-from barforge.llm import decontaminate, html, licenses, mixing, neighbours, pii, quality, secrets, simhash, urls
+from barforge.llm import (
+    decontaminate, html, licenses, mixing, neighbours, pii, quality, secrets, simhash, spelling, toxicity, urls, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +111,27 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
             "page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first four whitened components."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, levels=256, components=4)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), times=10)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels of those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    model = toxicity.fit_toxicity(docs, labels)
+    return docs.select(
+        "doc_id", toxicity.held_out().alias("held_out"), model.score(F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -120,4 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
     "op10_urls": op10_urls,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_toxicity": op13_toxicity,
 }
