@@ -117,7 +117,7 @@ def test_one_part_equals_one_place(spark):
     for i, y, _ in ((r.doc_id, r.toxic, 0) for r in labels.collect()):
         if i is not None and y is not None:
             truth.setdefault(i, []).append(y)
-    known = [(t, np.mean(truth[i])) for i, t, *_ in rows if i in truth]
+    known = [(t, float(np.mean(truth[i]))) for i, t, *_ in rows if i in truth]
     keys = [r[0] for r in spark.createDataFrame(known, "t string, y double").select(F.xxhash64(F.lit(13), "t")).collect()]
     ordered = [known[k] for k in sorted(range(len(known)), key=lambda k: (keys[k], known[k][1]))]
     grams, rates, size = T.Grams(16), T.Rates(), 1 << 16
