@@ -10,7 +10,9 @@ Learning is distributed by mixing: labelled rows are dealt by a hash of their te
 of about ``rows_per_part`` rows; each part runs through its rows in a fixed order from
 the same state, the parts' changes are averaged by coordinate, and the next pass starts
 from there. A part holds the state of all coordinates (17 bytes each), never its rows.
-A coordinate is learnt from once its part has met it ``least`` times.
+A coordinate is learnt from once its part has met it ``least`` times. Of a pass, only coordinates
+are handed on whose sum of gradients has come half way to a weight that is not zero; the
+others begin anew, so what is sent and kept is a small multiple of the model.
 
 Nothing but the text enters a score or the order of learning. A null text is scored as
 an empty one: by the constant alone. Labels of one document are averaged; null labels
@@ -83,12 +85,16 @@ class Rates:
 
     alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 10.0
+    l1: float = 5.0
     l2: float = 0.0
 
     def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         return -np.sign(z) * np.maximum(np.abs(z) - self.l1, 0) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
 
+    def telling(self, z: np.ndarray) -> np.ndarray:
+        """Coordinates worth handing on: at least half way to a weight that is not zero."""
+        return np.abs(z) >= self.l1 / 2
+
     def constant(self, z: float, n: float) -> float:
         """The weight of the constant, which L1 and L2 leave free."""
         return -z * self.alpha / (self.beta + n ** 0.5)
@@ -159,15 +165,15 @@ class ToxicityModel:
 
 
 def _learn(start: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, rates: Rates, least: int):
-    """Changes of one pass, part by part: rows (i, z, n, rows) weighted by the part's rows."""
-    names = ["i", "z", "n"]
-
+    """Changes of one pass, part by part: rows (i, z, n) weighted by the part's rows."""
     def changes(state: State, rows: int) -> pa.RecordBatch:
+        told = rates.telling(state.z)
+        told[start[0]] = told[size] = True
         state.z[start[0]] -= start[1]
         state.n[start[0]] -= start[2]
-        on = np.flatnonzero(state.n > 0)
+        on = np.flatnonzero(told)
         return pa.RecordBatch.from_arrays(
-            [pa.array(on.astype(np.int32)), pa.array(state.z[on] * rows), pa.array(state.n[on] * rows)], names)
+            [pa.array(on.astype(np.int32)), pa.array(state.z[on] * rows), pa.array(state.n[on] * rows)], ["i", "z", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state, rows = None, None, 0
@@ -193,8 +199,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text
     """Learn from the texts of ``docs`` that ``labels`` (id, label of 0 to 1) mark.
 
     At most about ``max_rows`` labelled rows are learnt from, chosen by the hash of their
-    text. The model's state, not the rows, comes to the driver: the coordinates that at least
-    one part has learnt from.
+    text. The state of the coordinates handed on, not the rows, comes to the driver.
     """
     truth = labels.groupBy(F.col(id).alias("__id")).agg(F.avg(label).alias("y")).where("y is not null")
     known = docs.select(F.col(id).alias("__id"), F.col(text).alias("text")).join(truth, "__id").select("text", "y")
@@ -215,11 +220,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text
     for _ in range(passes if total else 0):
         summed = (learnt.mapInArrow(_learn((index, z, n), size, rates, least), "i int, z double, n double")
                   .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas().sort_values("i"))
-        full = State.of(size, index, z, n, least)
-        full.z[summed.i] += summed.z.to_numpy() / total
-        full.n[summed.i] += summed.n.to_numpy() / total
-        index = np.flatnonzero(full.n > 0).astype(np.int32)
-        z, n = full.z[index], full.n[index]
+        every = np.union1d(index, summed.i.to_numpy())
+        new_z, new_n = np.zeros(len(every)), np.zeros(len(every))
+        for at, dz, dn in ((index, z, n), (summed.i.to_numpy(), summed.z.to_numpy() / total, summed.n.to_numpy() / total)):
+            places = np.searchsorted(every, at)
+            new_z[places] += dz
+            new_n[places] += dn
+        on = rates.telling(new_z) | (every == size)
+        index, z, n = every[on].astype(np.int32), new_z[on], new_n[on]
     if not total:
         return ToxicityModel(bits, index, np.empty(0, np.float32), 0.0)
     free = index == size
