@@ -20,7 +20,7 @@ and labels of unknown documents count for nothing; repeated documents are learnt
 as often as they occur. Without labelled rows every score is 0.5.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,15 +70,6 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def text_grams(text: Column, bits: int = 22) -> Column:
-    """array<int> of the coordinates of a text column."""
-    def run(texts: pa.Array) -> pa.Array:
-        grams = Grams(bits)
-        return pa.array([grams(t.as_py()) for t in texts], pa.list_(pa.int32()))
-
-    return F.arrow_udf(run, "array<int>")(text)
-
-
 @dataclass(frozen=True)
 class Rates:
     """Parameters of the learner: rate, its start, L1 and L2."""
@@ -144,7 +135,7 @@ class ToxicityModel:
     weights: np.ndarray
     constant: float
 
-    def scores(self, texts: list[str | None], grams: Grams, dense: np.ndarray) -> np.ndarray:
+    def scores(self, texts: Iterable[str | None], grams: Grams, dense: np.ndarray) -> np.ndarray:
         return sigmoid(np.array([dense[grams(t)].sum() for t in texts]) + self.constant)
 
     def dense(self) -> np.ndarray:
@@ -159,13 +150,15 @@ class ToxicityModel:
         def run(texts: pa.Array) -> pa.Array:
             if not held:
                 held.extend([Grams(model.bits), model.dense()])
-            return pa.array(model.scores(texts.to_pylist(), *held) if len(texts) else [], pa.float64())
+            return pa.array(model.scores((t.as_py() for t in texts), *held) if len(texts) else [], pa.float64())
 
         return F.arrow_udf(run, "double")(text)
 
 
-def _learn(start: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, rates: Rates, least: int):
+def _learn(start: tuple[np.ndarray, np.ndarray, np.ndarray], bits: int, rates: Rates, least: int):
     """Changes of one pass, part by part: rows (i, z, n) weighted by the part's rows."""
+    size = 1 << bits
+
     def changes(state: State, rows: int) -> pa.RecordBatch:
         told = rates.telling(state.z)
         told[start[0]] = told[size] = True
@@ -176,16 +169,16 @@ def _learn(start: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, rates: R
             [pa.array(on.astype(np.int32)), pa.array(state.z[on] * rows), pa.array(state.n[on] * rows)], ["i", "z", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams(bits)
         now, state, rows = None, None, 0
         for batch in batches:
-            part, y, grams = (batch.column(c) for c in ("part", "y", "grams"))
-            flat, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
-            for k, (p, label) in enumerate(zip(part.to_pylist(), y.to_pylist())):
-                if p != now:
+            for p, y, text in zip(*(batch.column(c) for c in ("part", "y", "text"))):
+                if p.as_py() != now:
                     if rows:
                         yield changes(state, rows)
-                    now, state, rows = p, State.of(size, *start, least), 0
-                state.learn(flat[ends[k]:ends[k + 1]], label, rates, least)
+                    state = None  # before the next one is made
+                    now, state, rows = p.as_py(), State.of(size, *start, least), 0
+                state.learn(grams(text.as_py()), y.as_py(), rates, least)
                 rows += 1
         if rows:
             yield changes(state, rows)
@@ -211,14 +204,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text
     parts = max(1, -(-min(rows, max_rows) // rows_per_part))
     dealt = (chosen.withColumn("part", F.pmod(F.shiftright("key", 20), F.lit(parts)).cast("int"))
              .repartition(parts, "part")
-             .select("part", "key", "y", text_grams(F.col("text"), bits).alias("grams")).sortWithinPartitions("part", "key", "y"))
-    learnt = stored(dealt, "labelled-grams", partition_by="part").select("part", "y", "grams")
+             .sortWithinPartitions("part", "key", "y"))
+    # Texts, not their grams, which take more room than it takes time to make them again.
+    learnt = stored(dealt, "labelled-texts", partition_by="part").select("part", "y", "text")
 
     size = 1 << bits
     index, z, n = np.empty(0, np.int32), np.empty(0), np.empty(0)
     total = learnt.select("part").count() if rows else 0
     for _ in range(passes if total else 0):
-        summed = (learnt.mapInArrow(_learn((index, z, n), size, rates, least), "i int, z double, n double")
+        summed = (learnt.mapInArrow(_learn((index, z, n), bits, rates, least), "i int, z double, n double")
                   .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas().sort_values("i"))
         every = np.union1d(index, summed.i.to_numpy())
         new_z, new_n = np.zeros(len(every)), np.zeros(len(every))
