@@ -16,8 +16,8 @@ others begin anew, so what is sent and kept is a small multiple of the model.
 
 Nothing but the text enters a score or the order of learning. A null text is scored as
 an empty one: by the constant alone. Labels of one document are averaged; null labels
-and labels of unknown documents count for nothing; repeated documents are learnt from
-as often as they occur. Without labelled rows every score is 0.5.
+and labels of unknown documents count for nothing; repeated rows of a document are learnt
+from once. Without labelled rows every score is 0.5.
 """
 
 from collections.abc import Iterable, Iterator
@@ -191,26 +191,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text
                  rows_per_part: int = 5000, max_rows: int = 40_000) -> ToxicityModel:
     """Learn from the texts of ``docs`` that ``labels`` (id, label of 0 to 1) mark.
 
-    At most about ``max_rows`` labelled rows are learnt from, chosen by the hash of their
-    text. The state of the coordinates handed on, not the rows, comes to the driver.
+    At most about ``max_rows`` labelled documents are learnt from, chosen by a hash. The state of the coordinates handed on, not the rows, comes to the driver.
     """
-    truth = labels.groupBy(F.col(id).alias("__id")).agg(F.avg(label).alias("y")).where("y is not null")
-    known = docs.select(F.col(id).alias("__id"), F.col(text).alias("text")).join(truth, "__id").select("text", "y")
-    order = F.xxhash64(F.lit(13), F.coalesce("text", F.lit("")))
-    known = known.select("text", "y", order.alias("key"))
-    rows = known.count()
-    chosen = known if rows <= max_rows else known.where(
-        F.pmod(F.col("key"), F.lit(1 << 20)) < int((1 << 20) * max_rows / rows))
-    parts = max(1, -(-min(rows, max_rows) // rows_per_part))
-    dealt = (chosen.withColumn("part", F.pmod(F.shiftright("key", 20), F.lit(parts)).cast("int"))
-             .repartition(parts, "part")
-             .sortWithinPartitions("part", "key", "y"))
+    truth = labels.groupBy(F.col(id).alias("__id")).agg(F.avg(label).alias("y")).where("__id is not null and y is not null")
+    marked = truth.count()
+    if marked > max_rows:
+        truth = truth.where(F.pmod(F.xxhash64(F.lit(7), "__id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / marked))
+    # At most about ``max_rows`` pairs of numbers are broadcast, so texts that are not learnt from stay where they are.
+    known = docs.select(F.col(id).alias("__id"), F.col(text).alias("text")).join(F.broadcast(truth), "__id")
+    known = known.withColumn("key", F.xxhash64(F.lit(13), F.coalesce("text", F.lit("")))).dropDuplicates(["__id", "key"])
+    parts = max(1, -(-min(marked, max_rows) // rows_per_part))
+    dealt = (known.withColumn("part", F.pmod(F.shiftright("key", 20), F.lit(parts)).cast("int")).select("part", "key", "y", "text")
+             .repartition(parts, "part").sortWithinPartitions("part", "key", "y"))
     # Texts, not their grams, which take more room than it takes time to make them again.
     learnt = stored(dealt, "labelled-texts", partition_by="part").select("part", "y", "text")
 
     size = 1 << bits
     index, z, n = np.empty(0, np.int32), np.empty(0), np.empty(0)
-    total = learnt.select("part").count() if rows else 0
+    total = learnt.select("part").count()
     for _ in range(passes if total else 0):
         summed = (learnt.mapInArrow(_learn((index, z, n), bits, rates, least), "i int, z double, n double")
                   .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas().sort_values("i"))
