@@ -28,7 +28,8 @@ def _renamed(df: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
 def _ranged(tally: DataFrame, keys: Sequence[str], count: str) -> tuple[DataFrame, DataFrame]:
     """Distinct values with the ``part`` that holds them, and per key and part the sums of
     ``count``: ``rows`` in it, those ``before`` it and those of the whole key, ``n``."""
-    dealt = tally.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id())
+    # Ranges are found from a sample of what is dealt: stored, the tally is counted once only.
+    dealt = stored(tally, "tally").repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id())
     values = stored(dealt, "ranged")
     in_order = Window.partitionBy(*keys).orderBy("part")
     parts = (
