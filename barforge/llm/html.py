@@ -17,6 +17,7 @@ or closed without having been opened, are tolerated.
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -84,6 +85,7 @@ class _Reader:
 
     blocks: list[Block] = field(default_factory=list)
     open: list[_Open] = field(default_factory=list)
+    names: Counter[str] = field(default_factory=Counter)  # of the open elements
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     in_link: int = 0
@@ -121,13 +123,13 @@ class _Reader:
             if name == "a":
                 self.in_link = 1  # links do not nest
             elif not self.away and name not in VOID and _is_away(name, _attributes(attributes), True):
-                self.open.append(_Open(name, True, self.part, skip=True))
+                self.add(_Open(name, True, self.part, skip=True))
         else:
             self.flush()
             self.in_link = 0
             if self.open and self.open[-1].name in ("p", name) and (
                     self.open[-1].name == "p" or name in CLOSED_BY_NEXT):
-                self.open.pop()
+                self.close(len(self.open) - 1)
             self.heading = name in HEADINGS
             if name not in VOID:
                 self.push(name, _attributes(attributes))
@@ -138,7 +140,16 @@ class _Reader:
             if not part:
                 self.parts += 1
                 part = self.parts
-        self.open.append(_Open(name, self.away or _is_away(name, told, bool(part)), part))
+        self.add(_Open(name, self.away or _is_away(name, told, bool(part)), part))
+
+    def add(self, element: _Open) -> None:
+        self.open.append(element)
+        self.names[element.name] += 1
+
+    def close(self, first: int) -> None:
+        """Close the open elements from ``first`` on."""
+        self.names.subtract(o.name for o in self.open[first:])
+        del self.open[first:]
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -146,10 +157,8 @@ class _Reader:
         if name not in INLINE:
             self.flush()
             self.heading = False
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].name == name:
-                del self.open[i:]
-                break
+        if self.names[name] > 0:  # else nothing so named is open
+            self.close(next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i].name == name))
 
 
 def _attributes(raw: str) -> dict[str, str]:

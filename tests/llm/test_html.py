@@ -88,3 +88,15 @@ def test_query_gives_the_article_of_every_page(spark):
                   for b in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(b for b in blocks if b), r.page_id
         assert r.n_chars == len(r.text)
+
+
+def test_end_tags_without_a_beginning_take_linear_time():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        page = "<div>" * n + "</b></section>" * n + "<p>end"
+        start = time.perf_counter()
+        H.page_blocks(page)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 0.5

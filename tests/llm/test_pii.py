@@ -112,3 +112,42 @@ def test_query_replaces_all_personal_data_of_the_tables(spark):
             n += 1
         assert shapes.sub("#", old[r.doc_id]) == shapes.sub("#", r.text)
     assert n > 50
+
+
+def _found_pair_by_pair(text, key):
+    """Each match held against all finds so far, kind by kind."""
+    found = []
+    for number, (kind, pattern, _) in enumerate(P.KINDS):
+        for match in pattern.finditer(text):
+            if any(match.start() < e and s < match.end() for _, s, e, _ in found):
+                continue
+            value = match[0]
+            while (new := P._pseudonym(number, key, value)) is None and kind == "iban" and " " in value:
+                value = value.rsplit(" ", 1)[0]
+            if new is not None:
+                found.append((kind, match.start(), match.start() + len(value), new))
+    return sorted(found, key=lambda f: f[1])
+
+
+def test_finds_equal_those_of_all_pairs_and_take_linear_time():
+    import random
+    import time
+
+    rng = random.Random(8)
+    pieces = ["a.b@c.org", "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00", "192.168.10.7", "2021-03-04", "+49 30 1234567", "(212) 555-0147",
+              "123-45-6789", "GB82 WEST 1234 5698 7654 32", "12", "-", ".", "x@", "1999"]
+    key = b"k" * 32
+    kinds = set()
+    for _ in range(300):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", "", ", ", "/"]) for _ in range(rng.randint(1, 14)))
+        got = P.find_personal(text, key)
+        assert got == _found_pair_by_pair(text, key)
+        kinds |= {f[0] for f in got}
+    assert len(kinds) >= 5
+    took = []
+    for n in (5_000, 20_000):
+        text = " ".join(f"u{i}@example.org on 2021-03-{i % 28 + 1:02d}" for i in range(n))
+        start = time.perf_counter()
+        assert len(P.find_personal(text, key)) >= n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0]
