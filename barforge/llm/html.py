@@ -1,13 +1,18 @@
 """Main text of web pages by two passes of rules over their blocks.
 
-A page is cut into blocks at block-level tags. The first pass decides a block by
-its density of links, its length and its density of function words, and by where it
-stands: parts of the page that are no text of the article (navigation, forms, side
-columns, notices, comments and the like, by tag, role, class or id) are left out
-whole, and an element that holds the article, if there is one, settles its paragraphs
-and long blocks. The second pass gives short, undecided blocks the label of their nearest
-decided neighbours within the same part of the page; where those differ, the nearer
-one's, and on a tie the block stays.
+A page is cut into blocks at block-level tags. Parts of the page that are no text of
+the article (navigation, forms, side columns, notices, comments and the like, by tag,
+role, class or id) are left out whole, and so is what stands outside the element that
+holds the article, if there is one. A part left out does not take the article with it:
+names of the article's own element count little, a wrapper of the only article is none
+of these parts, and a form that holds most of the page's prose is a wrapper.
+
+The first pass decides all other blocks by their density of links, their length and their
+density of function words; a paragraph of an article needs fewer of these. The second
+pass gives short and undecided blocks the label of their nearest decided neighbours within
+the same part of the page; where those differ, the nearer one's, and on a tie the block
+stays. Within an article, bad neighbours count as further away, and speak only where it
+has good blocks.
 
 Character references are decoded, white space within a block becomes one space, and
 blocks are joined by a line feed. Nothing else is dropped or cut. A null or empty
@@ -16,6 +21,7 @@ or closed without having been opened, are tolerated.
 """
 
 import html as entities
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -33,29 +39,38 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 # Tags of HTML by their role here.
-RAW = frozenset("script style noscript template iframe object svg math head title audio video canvas".split())
+RAW = frozenset("script style noscript template iframe object svg head title audio video canvas annotation annotation-xml".split())
+UNSEEN = frozenset("script style template annotation annotation-xml".split())  # does not end a block
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp
-small span strike strong sub sup time tt u var wbr img br""".split())
+small span strike strong sub sup time tt u var wbr img br
+math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt
+mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics""".split())
 CLOSED_BY_NEXT = frozenset("li dd dt td th tr option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY = frozenset("nav aside footer form button select textarea fieldset menu dialog datalist".split())
 ARTICLE = frozenset("article main".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 # Of a class or id, words that name what is no part of an article; the other lists by their beginning and end.
-AWAY_WORDS = frozenset("""ad ads adv menu nav navbar navigation header masthead form search share shares sharing social related
+AWAY_WORDS = frozenset("""menu nav navbar navigation header masthead form search share shares sharing social related
 recommended recommendations login signup signin register subscribe subscription popup modal overlay notice notices alert
-alerts consent gdpr pager pagination toolbar copyright respond reply replies rail tags widget widgets""".split())
-AWAY_BEGINNINGS = ("advert", "sponsor", "cookie", "breadcrumb", "newsletter", "sidebar", "footer", "promo", "banner", "comment", "disqus",
-                   "adsense", "adsby", "adslot", "adunit", "adbox")
+alerts consent gdpr pager pagination toolbar copyright rail tags widget widgets""".split())
+AWAY_BEGINNINGS = ("cookie", "breadcrumb", "newsletter", "sidebar", "footer", "promo", "banner")
+# Adverts and comments, which are left out also where they are articles or hold one.
+FOREIGN_WORDS = frozenset("ad ads adv respond reply replies".split())
+FOREIGN_BEGINNINGS = ("advert", "sponsor", "comment", "disqus", "adsense", "adsby", "adslot", "adunit", "adbox")
 AWAY_ENDINGS = ("nav", "menu", "sidebar", "footer", "banner", "breadcrumbs")
 ARTICLE_NAMES = frozenset("""article post entry story content main article-body article-content articlebody post-body post-content
 entry-content main-content story-body""".split())
 KEEP_BEFORE = frozenset("has with no without".split())
+KEEP_AFTER = frozenset(["free"])
 
 MUCH_LINKED = 0.5  # share of a block's characters within links
 SHORT, LONG = 70, 200  # characters
 FEW_WORDS, MANY_WORDS = 0.12, 0.25  # share of function words
+BAD_FURTHER = 5  # within an article, a bad neighbour counts as so many times as far
+
+KEPT, WRAPS, OUT = 0, 1, 2  # no part to leave out; one, unless it wraps the article; one in any case
 
 
 @dataclass
@@ -65,16 +80,28 @@ class Block:
     text: str
     linked: float
     heading: bool
-    away: bool  # stands in a part that is left out whole
+    root: int  # number of the innermost part to leave out that it stands in; 0: none
     part: int  # number of the article element it stands in; 0: outside
     paragraph: bool = False
+    away: bool = False  # stands in a part that is left out whole
     good: bool | None = None
 
 
+@dataclass
+class _Part:
+    """An element that is left out whole, unless it turns out to wrap the article."""
+
+    around: int  # number of the next such element around it
+    kind: int  # WRAPS or OUT
+    form: bool
+    article: bool = False  # holds an article, by tag or role
+    prose: int = 0  # characters of prose
+
+
 @dataclass
 class _Open:
     name: str
-    away: bool
+    root: int
     part: int
     skip: bool = False  # an inline element whose text is left out of its block
 
@@ -84,6 +111,7 @@ class _Reader:
     """Blocks of a page, read tag by tag."""
 
     blocks: list[Block] = field(default_factory=list)
+    roots: list[_Part] = field(default_factory=lambda: [_Part(0, KEPT, False)])
     open: list[_Open] = field(default_factory=list)
     names: Counter[str] = field(default_factory=Counter)  # of the open elements
     pieces: list[str] = field(default_factory=list)
@@ -91,10 +119,11 @@ class _Reader:
     in_link: int = 0
     heading: bool = False
     parts: int = 0
+    starts: list[int] = field(default_factory=lambda: [0])  # per article: the part it stands in
 
     @property
-    def away(self) -> bool:
-        return bool(self.open) and self.open[-1].away
+    def root(self) -> int:
+        return self.open[-1].root if self.open else 0
 
     @property
     def part(self) -> int:
@@ -113,7 +142,7 @@ class _Reader:
         if text:
             size = len(text.replace(" ", ""))
             paragraph = bool(self.open) and self.open[-1].name == "p"
-            self.blocks.append(Block(text, self.linked / size, self.heading, self.away, self.part, paragraph))
+            self.blocks.append(Block(text, self.linked / size, self.heading, self.root, self.part, paragraph))
         self.pieces, self.linked = [], 0
 
     def start(self, name: str, attributes: str) -> None:
@@ -122,8 +151,8 @@ class _Reader:
         elif name in INLINE:
             if name == "a":
                 self.in_link = 1  # links do not nest
-            elif not self.away and name not in VOID and _is_away(name, _attributes(attributes), True):
-                self.add(_Open(name, True, self.part, skip=True))
+            elif name not in VOID and _standing(name, _attributes(attributes), True):
+                self.add(_Open(name, self.root, self.part, skip=True))
         else:
             self.flush()
             self.in_link = 0
@@ -135,12 +164,21 @@ class _Reader:
                 self.push(name, _attributes(attributes))
 
     def push(self, name: str, told: dict[str, str]) -> None:
-        part = self.part
-        if not self.away and _is_article(name, told):
-            if not part:
-                self.parts += 1
-                part = self.parts
-        self.add(_Open(name, self.away or _is_away(name, told, bool(part)), part))
+        part, root = self.part, self.root
+        sure = _is_article(name, told)
+        article = sure or _is_named_article(name, told)
+        if article and (not part or self.open[-1].root != self.starts[part]):
+            self.parts += 1
+            part = self.parts
+        kind = _standing(name, told, bool(part), article, sure)
+        if kind:
+            self.roots.append(_Part(root, kind, name == "form"))
+            root = len(self.roots) - 1
+        elif sure:
+            self.roots[root].article = True
+        if part == len(self.starts):
+            self.starts.append(root)
+        self.add(_Open(name, root, part))
 
     def add(self, element: _Open) -> None:
         self.open.append(element)
@@ -173,27 +211,66 @@ def _names(told: dict[str, str]) -> list[str]:
 
 def _is_article(name: str, told: dict[str, str]) -> bool:
     return (name in ARTICLE or told.get("role", "") in ("main", "article")
-            or told.get("itemprop", "").lower() == "articlebody"
-            or name in ("div", "section") and any(n in ARTICLE_NAMES for n in _names(told)))
+            or told.get("itemprop", "").lower() == "articlebody")
+
+
+def _is_named_article(name: str, told: dict[str, str]) -> bool:
+    return name in ("div", "section") and any(n in ARTICLE_NAMES for n in _names(told))
 
 
-def _is_away(name: str, told: dict[str, str], in_article: bool) -> bool:
+def _standing(name: str, told: dict[str, str], in_article: bool, article: bool = False, sure: bool = False) -> int:
+    """Whether an element is a part to leave out. Of an article's own names the first words
+    count only (the others are its subjects), and if its tag says so, too, those of adverts and comments only."""
     if name in AWAY or name == "header" and not in_article:
-        return True
+        return WRAPS if name in ("form", "header") else OUT
     if not told or name in ("html", "body", "main"):
-        return False
-    if "hidden" in told or "display:none" in told.get("style", "").replace(" ", "").lower() or told.get("role") in AWAY_ROLES:
-        return True
+        return KEPT
+    if "hidden" in told or "display:none" in told.get("style", "").replace(" ", "").lower():
+        return OUT
+    found = WRAPS if told.get("role") in AWAY_ROLES else KEPT
     for full in _names(told):
         words = [w for w in re.split(r"[-_:]+|\d+", full) if w]
-        if words and words[0] in KEEP_BEFORE or full in ARTICLE_NAMES:
+        if not words or words[0] in KEEP_BEFORE or words[-1] in KEEP_AFTER or full in ARTICLE_NAMES:
             continue
-        for w in words:
-            if w == "header" and in_article:
+        for w in words[:1] if article else words:
+            if w in FOREIGN_WORDS or w.startswith(FOREIGN_BEGINNINGS):
+                return OUT
+            if sure or w == "header" and in_article:
                 continue
             if w in AWAY_WORDS or w.startswith(AWAY_BEGINNINGS) or w.endswith(AWAY_ENDINGS):
-                return True
-    return False
+                found = WRAPS
+    return found
+
+
+def _is_prose(block: Block) -> bool:
+    return (len(block.text) >= SHORT and block.linked <= MUCH_LINKED and not block.heading
+            and function_word_share(block.text) >= FEW_WORDS)
+
+
+def _leave_out(blocks: list[Block], roots: list[_Part]) -> None:
+    """Settle which blocks are left out with the part they stand in.
+
+    If no article stands free of such parts, one that holds an article by tag or role, or a
+    form that holds most of the page's prose, is a wrapper and stays.
+    """
+    if len(roots) > 1 and not any(b.part and not b.root for b in blocks):
+        prose = 0
+        if any(r.form for r in roots):
+            for b in blocks:
+                if _is_prose(b):
+                    prose += len(b.text)
+                    roots[b.root].prose += len(b.text)
+        for r in reversed(roots[1:]):  # those within others have greater numbers
+            around = roots[r.around]
+            around.prose += r.prose
+            if r.kind == WRAPS and (r.article or r.form and r.prose * 2 > prose):
+                around.article |= r.article
+                r.kind = KEPT
+    out = [False]
+    for r in roots[1:]:
+        out.append(r.kind != KEPT or out[r.around])
+    for b in blocks:
+        b.away = out[b.root]
 
 
 def page_blocks(page: str | None) -> list[Block]:
@@ -214,11 +291,13 @@ def page_blocks(page: str | None) -> list[Block]:
         if tag["end"] or tag["end2"]:
             reader.end(name)
         elif name in RAW:
-            reader.flush()
+            if name not in UNSEEN:
+                reader.flush()
             at = _after(page, name, at)
         else:
             reader.start(name, tag["attributes"] or "")
     reader.flush()
+    _leave_out(reader.blocks, reader.roots)
     return reader.blocks
 
 
@@ -247,13 +326,12 @@ def _decide(block: Block, has_article: bool) -> bool | None:
         return False
     if has_article and not block.part:
         return False
-    if block.part and block.paragraph:
-        return True
     size = len(block.text)
-    share = function_word_share(block.text) if size >= SHORT else 0.0
     if block.heading or size < SHORT:
         return None
-    if share >= MANY_WORDS or share >= FEW_WORDS and size >= LONG:
+    share = function_word_share(block.text)
+    inside = block.part and block.paragraph
+    if share >= MANY_WORDS or share >= FEW_WORDS and (size >= LONG or inside):
         return True
     return True if block.part and size >= LONG else None
 
@@ -267,22 +345,25 @@ def classify(blocks: list[Block]) -> list[Block]:
     for i, b in enumerate(blocks):
         if not b.away and (b.part or not has_article):
             lines.setdefault(b.part, []).append(i)
-    for b, told in zip(blocks, first):
-        b.good = bool(told)
-    for line in lines.values():
-        before: list[tuple[int, bool] | None] = []
-        last = None
+    for b, label in zip(blocks, first):
+        b.good = bool(label)
+    for part, line in lines.items():
+        if part and not any(first[i] for i in line):  # nothing tells text from links here
+            for i in line:
+                blocks[i].good = first[i] is None
+            continue
+        near = {True: [math.inf] * len(line), False: [math.inf] * len(line)}  # blocks to the next good, bad one
+        for places in (range(len(line)), reversed(range(len(line)))):
+            last: dict[bool, int] = {}
+            for k in places:
+                if (told := first[line[k]]) is not None:
+                    last[told] = k
+                for label, at in last.items():
+                    near[label][k] = min(near[label][k], abs(k - at))
+        further = BAD_FURTHER if part else 1
         for k, i in enumerate(line):
-            last = (k, first[i]) if first[i] is not None else last
-            before.append(last)
-        last = None
-        for k in range(len(line) - 1, -1, -1):
-            i = line[k]
-            if first[i] is not None:
-                last = (k, first[i])
-                continue
-            sides = [(abs(k - s[0]), not s[1]) for s in (before[k], last) if s]
-            blocks[i].good = not min(sides)[1] if sides else True
+            if first[i] is None:
+                blocks[i].good = near[True][k] <= near[False][k] * further
     return blocks
 
 

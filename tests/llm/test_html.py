@@ -100,3 +100,53 @@ def test_end_tags_without_a_beginning_take_linear_time():
         H.page_blocks(page)
         took.append(time.perf_counter() - start)
     assert took[1] < 10 * took[0] + 0.5
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<article class="post-1 post type-post category-social">', "</article>"),
+    ('<article class="post tag-advertising">', "</article>"),
+    ('<article class="post tag-menu">', "</article>"),
+    ('<div class="post-1 post type-post category-social">', "</div>"),
+    ('<form id="aspnetForm"><input type="hidden" name="s"><article>', "</article></form>"),
+    ('<form id="aspnetForm"><input type="hidden" name="s"><div>', "</div></form>"),
+    ('<div class="left-nav"><article>', "</article></div>"),
+    ('<div class="ad-free"><article>', "</article></div>"),
+    ('<header><div role="main">', "</div></header>"),
+])
+def test_wrappers_and_subjects_do_not_take_the_article_with_them(before, after):
+    around = "<nav><a href='/'>Home page</a></nav>"
+    inner = '<div class="sidebar"><p>' + PROSE + "</p></div><form><label>Mail</label><input></form>"
+    assert H.main_text(page(f"{around}{before}<p>{PROSE}</p>{inner}<p>{PROSE}</p>{after}")) == f"{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("part", [
+    '<article class="comment-body"><p>{}</p></article>', '<aside><article><p>{}</p></article></aside>',
+    '<div class="comments-area"><article><p>{}</p></article></div>', '<div class="ads"><article><p>{}</p></article></div>',
+    '<div class="left-nav"><article><p>{}</p></article></div>', '<form><p>{}</p><input></form>'])
+def test_such_parts_beside_the_article_are_left_out(part):
+    assert H.main_text(page(f"<article><p>{PROSE}</p></article>{part.format(PROSE)}")) == PROSE
+
+
+def test_formulas_and_scripts_do_not_cut_their_block():
+    formula = "<math><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='tex'>a=2 {}</annotation></math>"
+    assert H.main_text(f"<article><p>Let {formula} hold<script>f('<p>')</script> here.</p></article>") == "Let a=2 hold here."
+
+
+LINKS = "<ul>" + "".join(f"<li><a href='{i}'>link number {i}</a></li>" for i in range(6)) + "</ul>"
+SOME = "Garden stones of river clouds paper windows tables and bottles letters engines bridges mountains."
+# Each stands among links, as near as it can be, and would go with them if its own densities did not count.
+AMONG_LINKS = [f"<p>{FEW}</p>", f"<div>{FEW}</div>", f"<div>{SOME}</div>", f"<div>{FEW * 2}</div>", f"<div>{SOME * 3}</div>",
+               "<p>It was of the old.</p>", f"<p>{PROSE}</p>"]
+
+
+@pytest.mark.parametrize("name, value", [
+    ("FEW_WORDS", 0.0), ("MANY_WORDS", 0.0), ("MANY_WORDS", 2.0), ("SHORT", 0), ("SHORT", 10 ** 9), ("LONG", 0), ("LONG", 10 ** 9), ("MUCH_LINKED", 1.0)])
+@pytest.mark.parametrize("inside", [True, False])
+def test_each_density_decides(monkeypatch, name, value, inside):
+    wrap = "<article>{}</article>" if inside else "<div>{}</div>"
+    pages = [wrap.format(f"<p>{PROSE}</p>{LINKS}{text}{LINKS}<p>{PROSE}</p>") for text in AMONG_LINKS]
+    usual = [H.main_text(p) for p in pages]
+    monkeypatch.setattr(H, name, value)
+    if name == "MANY_WORDS" and value > 1:
+        monkeypatch.setattr(H, "FEW_WORDS", value)
+    assert [H.main_text(p) for p in pages] != usual
