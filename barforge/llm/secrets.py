@@ -13,7 +13,8 @@ are searched whole; repeated rows are searched each for itself.
 
 import math
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -122,14 +123,33 @@ def _allowed(text: str, start: int, end: int, allow: Sequence[re.Pattern[str]])
                 or any(p.search(text, start, end) for p in allow))
 
 
+class _Covered:
+    """Stretches merged where they overlap or touch, to be asked whether a span overlaps one."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)  # stretches before i begin before the end
+        return i > 0 and self.ends[i - 1] > start
+
+
 def _hot_spans(text: str, start: int, end: int, classes: Sequence[TokenClass], apart: bool = True) -> list[Span]:
     """Hot stretches of a piece of token characters; ``apart``, a wider class adds only what does not overlap."""
     own: list[Span] = []
     for c in classes:
+        narrower = _Covered((s, e) for _, s, e in own)  # stretches of one class are apart
         for run in c.runs.finditer(text, start, end):
             for begin, stop in hot_stretches(run[0], c.window, c.bits):
                 begin, stop = run.start() + begin, run.start() + stop
-                if _mixed(text[begin:stop]) and not (apart and any(begin < e and s < stop for _, s, e in own)):
+                if _mixed(text[begin:stop]) and not (apart and narrower.overlaps(begin, stop)):
                     own.append((c.kind, begin, stop))
     return own
 
@@ -156,8 +176,8 @@ def secret_spans(text: str | None) -> list[Span]:
     if not text:
         return []
     known = known_spans(text)
-    more = [s for s in entropy_spans(text)
-            if not any(s[1] < end and start < s[2] for _, start, end in known)]
+    covered = _Covered((start, end) for _, start, end in known)
+    more = [s for s in entropy_spans(text) if not covered.overlaps(s[1], s[2])]
     return sorted(known + more, key=lambda s: (s[1], ORDER[s[0]]))
 
 

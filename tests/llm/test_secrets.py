@@ -109,3 +109,33 @@ def test_what_overlaps_a_span_is_masked_too():
         text = "".join(rng.choice([KEY, "password=", "AKIA" + "B7CD" * 4, "0a1b2c3d" * 4, " ", "example", "/", "\n"]) for _ in range(8))
         hidden = {p for _, a, b in S.hidden_spans(text) for p in range(a, b)}
         assert hidden >= {p for _, a, b in S.secret_spans(text) for p in range(a, b)}, text
+
+
+def test_overlaps_equal_those_of_all_pairs():
+    rng = random.Random(6)
+    for _ in range(300):
+        spans = [(a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randint(0, 8)))]
+        covered = S._Covered(spans)
+        for _ in range(20):
+            start = rng.randrange(60)
+            end = start + rng.randint(1, 9)
+            assert covered.overlaps(start, end) == any(start < e and s < end for s, e in spans)
+
+
+def test_many_finds_in_one_text_take_linear_time():
+    import time
+
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    pieces = ["password=" + "".join(rng.choices(letters, k=12)) + " " + "".join(rng.choices(letters, k=40)) for _ in range(20_000)]
+    took = []
+    for n in (2_500, 20_000):
+        start = time.perf_counter()
+        assert len(S.secret_spans("\n".join(pieces[:n]))) >= 1.9 * n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 20 * took[0] + 0.5
+    # One candidate of many hexadecimal stretches.
+    long = "/".join("".join(rng.choices("0123456789abcdef", k=24)) for _ in range(20_000))
+    start = time.perf_counter()
+    assert len(S.secret_spans(long)) > 15_000
+    assert time.perf_counter() - start < 30
