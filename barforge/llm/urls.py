@@ -70,25 +70,34 @@ def _checked(table: DataFrame) -> DataFrame:
 
 
 def _grams(urls: DataFrame, order: int) -> DataFrame:
-    """A row for each character of each URL and for its end, with the ``order`` before it."""
-    padded = F.concat(F.lit(START * order), F.col("chars"), F.lit(END))
-    places = F.sequence(F.lit(1), F.length("chars") + 1)
-    return urls.withColumn("gram", F.explode_outer(F.transform(
-        places, lambda i: F.substring(padded, i, F.lit(order + 1)))))
+    """A row for each character of each URL and for its end, with the ``order`` before it.
+
+    The text is cut into characters and these are joined side by side, so a URL costs its
+    length; the rows carry its key in its place.
+    """
+    padded = F.split(F.concat(F.lit(START * order), F.col("chars"), F.lit(END)), "")
+    places = F.length("chars") + 1
+    grams = F.slice(padded, F.lit(1), places)
+    for i in range(2, order + 2):
+        grams = F.zip_with(grams, F.slice(padded, F.lit(i), places), lambda before, char: F.concat(before, char))
+    return urls.withColumn("gram", F.explode(grams)).drop("chars")
+
+
+def _key(chars: Column) -> Column:
+    return F.unhex(F.sha2(chars, 256))
 
 
 def gram_scores(counted: DataFrame, order: int) -> DataFrame:
     """(gram, gain): log of the accepted over the rejected model's probability of a
     gram's last character, for all grams of ``counted`` (gram, accepted, rejected)."""
     lengths = F.explode(F.sequence(F.lit(1), F.lit(order + 1)))
-    seen = (
+    seen = stored(
         counted.where("accepted + rejected > 0").select("gram", "accepted", "rejected", lengths.alias("k"))
         .groupBy(F.expr("right(gram, k)").alias("suffix"))
-        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
-    )
-    contexts = seen.groupBy(F.expr("left(suffix, length(suffix) - 1)").alias("context")).agg(
+        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "suffixes")
+    contexts = stored(seen.groupBy(F.expr("left(suffix, length(suffix) - 1)").alias("context")).agg(
         *(f(kind).alias(f"{kind}_{name}") for kind in ("accepted", "rejected") for name, f in (
-            ("all", F.sum), ("kinds", lambda k: F.sum((F.col(k) > 0).cast("bigint"))))))
+            ("all", F.sum), ("kinds", lambda k: F.sum((F.col(k) > 0).cast("bigint")))))), "contexts")
     steps = (
         counted.select("gram", lengths.alias("k"))
         .withColumn("suffix", F.expr("right(gram, k)")).withColumn("context", F.expr("left(suffix, k - 1)"))
@@ -150,17 +159,20 @@ def judge_urls(pages: DataFrame, block: Sequence[str], allow: Sequence[str], *,
 
     urls = stored(marked.groupBy(F.col("__chars").alias("chars")).agg(
         number(~rejected & ~back).alias("accepted"), number(rejected & ~back).alias("rejected"),
-        number(~rejected & back).alias("back_accepted"), number(rejected & back).alias("back_rejected")), "urls")
-    grams = _grams(urls, order)
+        number(~rejected & back).alias("back_accepted"), number(rejected & back).alias("back_rejected"))
+        .withColumn("key", _key(F.col("chars"))), "urls")
+    # Distinct URLs are few bytes and many grams: they are dealt out before they are cut up.
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = _grams(urls.repartition(tasks, "key"), order)
     counted = stored(grams.groupBy("gram").agg(
         F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "grams")
     gains = stored(gram_scores(counted, order), "gains")
     scored = stored(
-        grams.join(_checked(gains), "gram").groupBy("chars")
+        grams.join(_checked(gains), "gram").groupBy("key")
         .agg(F.avg("gain").alias("score"), F.first("back_accepted").alias("accepted"),
              F.first("back_rejected").alias("rejected")), "scores")
     threshold = best_threshold(scored)
-    own = scored.select(F.col("chars").alias("__chars"), "score")
+    own = scored.select(F.col("key").alias("__key"), "score")
     by_rule = F.when(blocked, "block").when(F.col("rule").isNotNull(), "allow")
     by_score = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return marked.join(own, "__chars").withColumn("verdict", F.coalesce(by_rule, by_score)).select(*kept, *names)
+    return marked.withColumn("__key", _key(F.col("__chars"))).join(own, "__key").withColumn("verdict", F.coalesce(by_rule, by_score)).select(*kept, *names)

@@ -119,3 +119,24 @@ def test_query_equals_the_rules(spark):
     for r in got:
         assert (r.host, r.path) == split(pages[r.page_id]) and r.rule == rule(r.host, r.path)
         assert r.rule is None or r.verdict == ("block" if r.rule in BLOCK else "allow")
+
+
+def test_very_long_urls_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (30_000, 300_000):
+        pages = spark.createDataFrame([(1, "http://a.b/" + "cdé/" * (n // 4)), (2, "http://casino.b/x")], "page_id long, url string")
+        start = time.perf_counter()
+        assert {r.page_id: len(r.path) for r in U.judge_urls(pages, (), ()).collect()} == {1: n // 4 * 4 + 1, 2: 2}
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 5
+
+
+def test_grams_are_the_substrings(spark):
+    texts = ["", "a", "añ😀b", "abcdefgh"]
+    urls = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key int, chars string")
+    got = U._grams(urls, 3).collect()
+    for i, t in enumerate(texts):
+        padded = U.START * 3 + t + U.END
+        assert [r.gram for r in got if r.key == i] == [padded[k:k + 4] for k in range(len(t) + 1)]
