@@ -34,6 +34,7 @@ MAX_SOURCES = 100_000  # sources are weighed one by one: the driver reads a row
 MAX_QUOTAS = 20_000_000  # of sources in shards, 8 bytes each; shards grow beyond
 RANK_BITS = 60
 LEVEL_BITS = 10
+URN = 10 ** 9  # numpy draws from fewer than that; of more, see _marked
 
 
 def word_count(text: Column) -> Column:
@@ -61,6 +62,38 @@ def target_words(sizes: Sequence[int], weights: Sequence[float], cap: float) ->
     return targets
 
 
+def _marked(draw: np.random.Generator, good: int, bad: int, sample: int, tries: int = 1 << 16) -> int:
+    """How many of ``sample`` drawn from ``good + bad`` are good, for urns of any size.
+
+    If every one were drawn by a coin of its own, the good ones drawn would be distributed
+    so among the cases in which ``sample`` are drawn in all: coins are thrown until they are.
+    That takes about the square root of ``sample`` throws, by binomial counts.
+    """
+    if good + bad < URN:
+        return int(draw.hypergeometric(good, bad, sample))
+    if not good or not bad or sample in (0, good + bad):
+        return min(good, sample)
+    coin = sample / (good + bad)
+    while True:
+        heads = draw.binomial(good, coin, tries)
+        hits = np.flatnonzero(heads + draw.binomial(bad, coin, tries) == sample)
+        if len(hits):
+            return int(heads[hits[0]])
+
+
+def _share(draw: np.random.Generator, own: np.ndarray, sample: int) -> np.ndarray:
+    """A draw of ``sample`` from ``own`` by the multivariate hypergeometric distribution."""
+    taken = np.zeros_like(own)
+    rest = int(own.sum())
+    for i, n in enumerate(own.tolist()):
+        if rest < URN:
+            taken[i:] = draw.multivariate_hypergeometric(own[i:], sample, method="marginals") if rest else 0
+            break
+        taken[i] = _marked(draw, n, rest - n, sample)
+        rest, sample = rest - n, sample - int(taken[i])
+    return taken
+
+
 def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Quotas of each shard: a row per shard, a column per source; columns add up to ``quotas``."""
     out = np.zeros((shards, len(quotas)), np.int64)
@@ -72,8 +105,7 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
         middle = (first + last) // 2
         total = int(own.sum())
         share = round(total * (middle - first) / (last - first))
-        draw = np.random.default_rng([seed, first, last])
-        left = draw.multivariate_hypergeometric(own, share, method="marginals") if total else own
+        left = _share(np.random.default_rng([seed, first, last]), own, share)
         split(first, middle, left)
         split(middle, last, own - left)
 

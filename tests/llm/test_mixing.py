@@ -124,3 +124,25 @@ def test_the_query_follows_the_dealt_mixture(spark, monkeypatch):
 
     monkeypatch.setattr(M.Mixture, "mixed", lambda self, docs: docs.select("*", *(F.lit(0).alias(c) for c in ("shard", "copy"))).limit(0))
     assert {r.taken for r in QUERIES["op1_mixing"](spark, "/root/testdata/sf0.001").collect()} == {0}
+
+
+def test_quotas_of_more_than_a_billion_blocks_are_split(monkeypatch):
+    quotas = np.array([600_000_000, 0, 600_000_000, 7, 3_000_000_000_000])
+    dealt = M.split_quotas(quotas, 5, seed=3)
+    assert (dealt.sum(axis=0) == quotas).all() and (dealt >= 0).all() and np.ptp(dealt.sum(axis=1)) <= 5
+    assert np.abs(dealt[:, 0] / 120_000_000 - 1).max() < 0.001
+    assert (M.split_quotas(quotas, 5, seed=3) == dealt).all()
+
+
+def test_draws_from_large_urns_are_distributed_like_small_ones(monkeypatch):
+    monkeypatch.setattr(M, "URN", 0)
+    draw = np.random.default_rng(4)
+    good, bad, sample, n = 30, 50, 24, 4000
+    got = [M._marked(draw, good, bad, sample, tries=64) for _ in range(n)]
+    p, total = good / (good + bad), good + bad
+    spread = sample * p * (1 - p) * (total - sample) / (total - 1)
+    assert abs(np.mean(got) - sample * p) < 4 * (spread / n) ** 0.5
+    assert abs(np.var(got) / spread - 1) < 0.12
+    for good, bad, sample, want in ((0, 5, 3, 0), (5, 0, 3, 3), (4, 5, 9, 4), (4, 5, 0, 0)):
+        assert M._marked(draw, good, bad, sample) == want
+    assert M._share(draw, np.array([3, 0, 9, 2]), 6).sum() == 6
