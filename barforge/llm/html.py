@@ -315,7 +315,7 @@ _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 def function_word_share(text: str) -> float:
     """Share of function words, marks at the edges of words stripped."""
-    words = [_EDGE.sub("", w).lower() for w in text.split()]
+    words = [w if w.isalpha() else _EDGE.sub("", w) for w in text.lower().split()]
     words = [w for w in words if w]
     return sum(w in FUNCTION_WORDS for w in words) / len(words) if words else 0.0
 
