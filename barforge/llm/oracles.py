@@ -159,25 +159,30 @@ def _hot(runs: str, bits: float) -> str:
 
 
 MIXED = "regexp_matches({0}, '[0-9]') AND regexp_matches({0}, '[A-Za-z]')"
+ALLOWED = ("[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", "0123456789|123456789[0a]|abcdefghij|qwertyuiop",
+           "example|sample|placeholder|changeme|dummy|xxxx")
 SECRETS = f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 known AS MATERIALIZED (
   SELECT rid, 'assign' AS kind, 0 AS k, start, start + len(hit) AS stop FROM ({_placed("docs", "text", ASSIGN, "rid", 2)}) a WHERE len(part) >= 8
   UNION ALL SELECT rid, 'access', 1, start, start + len(hit) FROM ({_placed("docs", "text", "AKIA[A-Z0-9]+", "rid")}) b WHERE len(hit) >= 16
   UNION ALL SELECT rid, 'hex', 2, start, start + len(hit) FROM ({_placed("docs", "text", "[0-9a-f]{32,}", "rid")}) c),
 candidate AS MATERIALIZED (SELECT rid, start AS cand, hit FROM ({_placed("docs", "text", "[A-Za-z0-9+/_=-]{20,}", "rid")}) c JOIN docs USING (rid)
-  WHERE {MIXED.format("hit")} AND NOT regexp_matches(hit, '[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}')
-  AND NOT regexp_matches(lower(hit), '0123456789|123456789[0a]|abcdefghij|qwertyuiop|example|sample|placeholder|changeme|dummy|xxxx')
-  AND NOT regexp_matches(lower(substr(text, greatest(start - 24, 0) + 1, least(start, 24))),
+  WHERE {MIXED.format("hit")} AND NOT regexp_matches(lower(substr(text, greatest(start - 24, 0) + 1, least(start, 24))),
     '(md5|sha-?1|sha-?256|sha-?512|commit|checksum|digest|integrity|etag)["'']?\\s*[:= -]\\s*["'']?$')),
-hex_run AS (SELECT rid, cand, cand + start AS spot, hit AS run FROM ({_placed("candidate", "hit", "[0-9A-Fa-f]{20,}", "rid, cand")}) h),
-base_run AS (SELECT rid, cand, cand AS spot, hit AS run FROM candidate),
-hexes AS MATERIALIZED (SELECT h.* FROM ({_hot("hex_run", 2.9)}) h JOIN docs USING (rid) WHERE {MIXED.format("substr(text, start + 1, stop - start)")}),
-bases AS MATERIALIZED (SELECT h.* FROM ({_hot("base_run", 3.75)}) h JOIN docs USING (rid) WHERE {MIXED.format("substr(text, start + 1, stop - start)")}),
-found AS (SELECT rid, 'entropy_hex' AS kind, 3 AS k, start, stop FROM hexes
-  UNION ALL SELECT rid, 'entropy_base64', 4, start, stop FROM bases b WHERE NOT EXISTS (
-    SELECT 1 FROM hexes h WHERE h.rid = b.rid AND h.cand = b.cand AND b.start < h.stop AND h.start < b.stop)),
-span AS MATERIALIZED (SELECT * FROM known UNION ALL SELECT * FROM found f WHERE NOT EXISTS (
-  SELECT 1 FROM known n WHERE n.rid = f.rid AND f.start < n.stop AND n.start < f.stop)),
+lowered AS (SELECT rid, cand, lower(hit) AS hit FROM candidate),
+cut AS (SELECT rid, cand, start AS s, start + len(hit) AS e FROM (
+    {" UNION ALL ".join(f"({_placed('lowered', 'hit', allowed, 'rid, cand')})" for allowed in ALLOWED)}) a
+  UNION ALL SELECT rid, cand, len(hit), len(hit) FROM candidate),
+piece AS MATERIALIZED (SELECT rid, cand, skip, substr(hit, skip + 1, s - skip) AS piece FROM (
+  SELECT rid, cand, s, coalesce(max(e) OVER (PARTITION BY rid, cand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS skip
+  FROM cut) x JOIN candidate USING (rid, cand) WHERE s > skip),
+hex_run AS (SELECT rid, cand, cand + skip + start AS spot, hit AS run FROM ({_placed("piece", "piece", "[0-9A-Fa-f]{20,}", "rid, cand, skip")}) h),
+base_run AS (SELECT rid, cand, cand + skip AS spot, piece AS run FROM piece),
+found AS (SELECT rid, 'entropy_hex' AS kind, 3 AS k, start, stop FROM ({_hot("hex_run", 2.9)}) h
+  UNION ALL SELECT rid, 'entropy_base64', 4, start, stop FROM ({_hot("base_run", 3.75)}) b),
+span AS MATERIALIZED (SELECT * FROM known UNION ALL SELECT f.* FROM found f JOIN docs USING (rid)
+  WHERE {MIXED.format("substr(text, start + 1, stop - start)")} AND NOT EXISTS (
+  SELECT 1 FROM known n WHERE n.rid = f.rid AND n.start <= f.start AND n.stop >= f.stop)),
 summed AS (SELECT rid, COUNT(*) FILTER (k = 0) AS n_assign, COUNT(*) FILTER (k = 1) AS n_access, COUNT(*) FILTER (k = 2) AS n_hex,
   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3) AS base,
   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM span GROUP BY rid)

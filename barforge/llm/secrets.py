@@ -4,8 +4,9 @@ Per text three known shapes are searched (a value assigned to a telling name, a
 cloud access id, a long hexadecimal run). Beside them every long string of
 token characters is a candidate: a window slides over it, its Shannon entropy
 is kept up by incremental counts, and stretches whose windows reach the
-threshold of their character class become spans, unless the allow-list
-explains them.
+threshold of their character class become spans. Stretches that the allow-list
+explains are cut out of a candidate and the rest is measured; a digest announced by
+the word before it clears its whole candidate. What is reported is what is masked.
 
 Spans count code points, end exclusive. A null or empty text has none; texts
 are searched whole; repeated rows are searched each for itself.
@@ -13,9 +14,10 @@ are searched whole; repeated rows are searched each for itself.
 
 import math
 import re
-from bisect import bisect_left
-from collections.abc import Iterable, Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -118,97 +120,58 @@ def _mixed(piece: str) -> bool:
     return any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece)
 
 
-def _allowed(text: str, start: int, end: int, allow: Sequence[re.Pattern[str]]) -> bool:
-    return bool(DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start])
-                or any(p.search(text, start, end) for p in allow))
-
-
-class _Covered:
-    """Stretches merged where they overlap or touch, to be asked whether a span overlaps one."""
-
-    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
-        self.starts: list[int] = []
-        self.ends: list[int] = []
-        for start, end in sorted(spans):
-            if self.ends and start <= self.ends[-1]:
-                self.ends[-1] = max(self.ends[-1], end)
-            else:
-                self.starts.append(start)
-                self.ends.append(end)
-
-    def overlaps(self, start: int, end: int) -> bool:
-        i = bisect_left(self.starts, end)  # stretches before i begin before the end
-        return i > 0 and self.ends[i - 1] > start
-
-
-def _hot_spans(text: str, start: int, end: int, classes: Sequence[TokenClass], apart: bool = True) -> list[Span]:
-    """Hot stretches of a piece of token characters; ``apart``, a wider class adds only what does not overlap."""
-    own: list[Span] = []
-    for c in classes:
-        narrower = _Covered((s, e) for _, s, e in own)  # stretches of one class are apart
-        for run in c.runs.finditer(text, start, end):
-            for begin, stop in hot_stretches(run[0], c.window, c.bits):
-                begin, stop = run.start() + begin, run.start() + stop
-                if _mixed(text[begin:stop]) and not (apart and narrower.overlaps(begin, stop)):
-                    own.append((c.kind, begin, stop))
-    return own
+def _pieces(text: str, start: int, end: int, allow: Sequence[re.Pattern[str]]) -> Iterator[tuple[int, int]]:
+    """What is left of a candidate when the stretches that the allow-list explains are cut out."""
+    if DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start]):
+        return
+    for begin, stop in [*sorted(m.span() for p in allow for m in p.finditer(text, start, end)), (end, end)]:
+        if begin > start:
+            yield start, begin
+        start = max(start, stop)
 
 
 def entropy_spans(text: str, classes: Sequence[TokenClass] = CLASSES,
                   allow: Sequence[re.Pattern[str]] = ALLOWED) -> list[Span]:
-    """Stretches of high entropy in long token strings, letters and digits mixed.
-
-    The narrower class comes first; a wider one adds only what does not overlap it.
-    """
+    """Stretches of high entropy in long token strings, letters and digits mixed, of each class for itself."""
     found: list[Span] = []
     for candidate in CANDIDATE.finditer(text):
-        if not _mixed(candidate[0]) or _allowed(text, *candidate.span(), allow):
+        if not _mixed(candidate[0]):
             continue
-        found += _hot_spans(text, *candidate.span(), classes)
+        for start, end in _pieces(text, *candidate.span(), allow):
+            for c in classes:
+                for run in c.runs.finditer(text, start, end):
+                    for begin, stop in hot_stretches(run[0], c.window, c.bits):
+                        begin, stop = run.start() + begin, run.start() + stop
+                        if _mixed(text[begin:stop]):
+                            found.append((c.kind, begin, stop))
     return found
 
 
 ORDER = {kind: i for i, kind in enumerate([k[0] for k in KNOWN] + [c.kind for c in CLASSES])}
 
 
-def secret_spans(text: str | None) -> list[Span]:
-    """All spans by start, then kind; entropy adds none where a known shape lies."""
-    if not text:
-        return []
-    known = known_spans(text)
-    covered = _Covered((start, end) for _, start, end in known)
-    more = [s for s in entropy_spans(text) if not covered.overlaps(s[1], s[2])]
-    return sorted(known + more, key=lambda s: (s[1], ORDER[s[0]]))
-
-
-def hidden_spans(text: str | None, classes: Sequence[TokenClass] = CLASSES,
+def secret_spans(text: str | None, classes: Sequence[TokenClass] = CLASSES,
                  allow: Sequence[re.Pattern[str]] = ALLOWED) -> list[Span]:
-    """What redaction covers: known shapes and every hot stretch, also where they overlap.
-
-    Stretches that the allow-list explains are cut out of a candidate and the rest is
-    measured. ``secret_spans`` report less, as the registered SQL does: there one such
-    stretch clears its candidate, and of overlapping spans one stands for all.
-    """
+    """All spans by start, then kind. Spans of different kinds may overlap; a hot stretch
+    within one span of a known shape adds nothing and is left out."""
     if not text:
         return []
-    found = known_spans(text)
-    for candidate in CANDIDATE.finditer(text):
-        start, end = candidate.span()
-        if not _mixed(candidate[0]) or DIGEST_BEFORE.search(text[max(0, start - CONTEXT):start]):
-            continue
-        at = start
-        for begin, stop in [*sorted(m.span() for p in allow for m in p.finditer(text, start, end)), (end, end)]:
-            found += _hot_spans(text, at, max(at, begin), classes, apart=False)
-            at = max(at, stop)
+    found = sorted(known_spans(text), key=lambda s: s[1])
+    starts = [s[1] for s in found]
+    reach = list(accumulate((s[2] for s in found), max))  # how far the spans up to here go
+    for span in entropy_spans(text, classes, allow):
+        i = bisect_right(starts, span[1])
+        if not i or reach[i - 1] < span[2]:
+            found.append(span)
     return sorted(found, key=lambda s: (s[1], ORDER[s[0]]))
 
 
 def redacted(text: str | None) -> str | None:
-    """The text with every stretch covered by hidden spans replaced by one mark."""
+    """The text with every stretch covered by spans replaced by one mark."""
     if not text:
         return text
     pieces, at = [], 0
-    for _, start, end in hidden_spans(text):
+    for _, start, end in secret_spans(text):
         if start >= at:
             pieces += [text[at:start], REDACTED]
         at = max(at, end)
