@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barforge.functions.storage import stored
 from barforge.llm.words import FUNCTION_WORDS
 
 STATISTICS = (
@@ -142,15 +143,16 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def fit_quality(stats: DataFrame, labels: DataFrame, *, id: str = "doc_id", label: str = "quality",
                 features: int = 256, penalty: float = 1e-4, keep_back: int = 5, bins: int = 1000,
-                parts: int = 32, seed: int = 11) -> QualityModel:
+                seed: int = 11) -> QualityModel:
     """Learn from ``stats`` (id, stats) and ``labels`` (id, label of 0 to 1).
 
-    One in ``keep_back`` labelled rows calibrates. ``parts`` partitions sum their
-    normal equations, so at most that many partial sums are added up.
+    One in ``keep_back`` labelled rows calibrates. The labelled rows' statistics are written
+    once; every partition of them sums its normal equations, whose number of rows is fixed,
+    and these sums are added up by entry.
     """
     truth = labels.groupBy(F.col(id).alias(id)).agg(F.avg(label).alias("y")).where("y is not null")
-    known = stats.select(id, "stats").join(truth, id).withColumn(
-        "back", F.pmod(F.xxhash64(F.lit(seed), F.col(id)), F.lit(keep_back)) == 0)
+    known = stored(stats.select(id, "stats").join(truth, id).select(
+        "stats", "y", (F.pmod(F.xxhash64(F.lit(seed), F.col(id)), F.lit(keep_back)) == 0).alias("back")), "labelled-statistics")
     d = len(STATISTICS)
     sums = known.where("not back").agg(
         F.count("*").alias("n"),
@@ -177,8 +179,8 @@ def fit_quality(stats: DataFrame, labels: DataFrame, *, id: str = "doc_id", labe
             [pa.array(np.arange(features + 1, dtype=np.int32)), pa.array(total.tolist(), pa.list_(pa.float64()))],
             ["i", "sums"])
 
-    parted = known.where("not back").select("stats", "y").coalesce(parts)
-    rows = (parted.mapInArrow(equations, "i int, sums array<double>")
+    learnt = known.where("not back").select("stats", "y")
+    rows = (learnt.mapInArrow(equations, "i int, sums array<double>")
             .select("i", F.posexplode("sums").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
             .toPandas())
     total = np.zeros((features + 1, features + 2))
@@ -201,6 +203,22 @@ def fit_quality(stats: DataFrame, labels: DataFrame, *, id: str = "doc_id", labe
     return model
 
 
+def fit_texts(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "quality",
+              max_rows: int = 400_000, **options) -> QualityModel:
+    """Learn from the texts of ``docs`` that ``labels`` mark; of other texts no statistics are taken.
+
+    Of more than ``max_rows`` labelled documents about that many are learnt from, chosen by a hash. So
+    their ids can be broadcast, and no text is shuffled.
+    """
+    known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).select(id, label)
+    marked = known.agg(F.count_distinct(id)).first()[0]
+    if marked > max_rows:
+        known = known.where(F.pmod(F.xxhash64(F.lit(17), F.col(id)), F.lit(1 << 20)) < int((1 << 20) * max_rows / marked))
+    ids = F.broadcast(known.select(id).distinct())
+    stats = docs.select(id, text).join(ids, id, "left_semi").select(id, text_statistics(F.col(text)).alias("stats"))
+    return fit_quality(stats, known, id=id, label=label, **options)
+
+
 def held_out(id: str = "doc_id") -> Column:
     """Rows that labels are never learnt from: crc32 of the id's text leaves 1 by three."""
     return F.coalesce(F.crc32(F.col(id).cast("string")) % 3 == 1, F.lit(False))

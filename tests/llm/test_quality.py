@@ -64,7 +64,7 @@ def test_fit_equals_ridge_in_one_place(spark):
     docs, labels, rows = _corpus(spark)
     stats = docs.select("doc_id", Q.text_statistics(F.col("text")).alias("stats"))
     one = Q.fit_quality(stats.repartition(9), labels, features=24)
-    other = Q.fit_quality(stats.repartition(2), labels, features=24, parts=1)
+    other = Q.fit_quality(stats.coalesce(1), labels, features=24)
     assert one.weights == pytest.approx(other.weights, rel=1e-4, abs=1e-5)
     known = (stats.join(labels.groupBy("doc_id").agg(F.avg("quality").alias("t")).where("t is not null"), "doc_id")
              .where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(5)) != 0).toPandas())
@@ -85,6 +85,19 @@ def test_scores_tell_unlabelled_rows_apart(spark):
         assert (r.s >= 0.5) == (not r.text.isupper() and len(set(words)) > 1), r
 
 
+def test_texts_are_learnt_from_like_their_statistics(spark):
+    docs, labels, rows = _corpus(spark)
+    stats = docs.select("doc_id", Q.text_statistics(F.col("text")).alias("stats"))
+    one, other = Q.fit_quality(stats, labels, features=24), Q.fit_texts(docs, labels, features=24)
+    assert one.weights == pytest.approx(other.weights, rel=1e-4, abs=1e-5)
+    assert one.raw == pytest.approx(other.raw, abs=1e-5) and one.calibrated == pytest.approx(other.calibrated)
+    few = Q.fit_texts(docs, labels, max_rows=200)  # still tells the classes apart
+    scores = {r.doc_id: r.s for r in docs.select("doc_id", few.score_text(F.col("text")).alias("s")).collect()}
+    truth = {r.doc_id: r.quality for r in labels.where("quality is not null and doc_id < 800").collect()}
+    assert np.mean([(scores[d] >= 0.5) == y for d, y in truth.items()]) > 0.95
+    assert Q.fit_texts(docs, labels.limit(0)).scores(np.zeros((1, len(Q.STATISTICS)))).tolist() == [0.5]
+
+
 def test_without_labels_and_without_rows(spark):
     docs, labels, _ = _corpus(spark, 10)
     stats = docs.select("doc_id", Q.text_statistics(F.col("text")).alias("stats"))
