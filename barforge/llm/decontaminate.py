@@ -117,7 +117,8 @@ def _windows(docs: DataFrame, anchors: list[int], postings: DataFrame, longest:
         seeds.join(postings, "hash").withColumn("start", F.expr("pos - at"))
         .select(id, "text_key", "start", "length", F.expr(
             "slice(near, greatest(start, 0) - first + 1, length + least(start, 0))").alias("words"))
-        .where(F.size("words") >= width).distinct()
+        # Windows of the same words are one, the first: a repeated passage is verified once.
+        .where(F.size("words") >= width).groupBy(id, "text_key", "length", "words").agg(F.min("start").alias("start"))
     )
 
 

@@ -116,3 +116,12 @@ def test_query_on_the_small_tables(spark):
     read = lambda n, i: [(r[i], r.text) for r in spark.read.parquet(f"{folder}/{n}.parquet").collect()]
     got = QUERIES["op3_decontamination"](spark, folder).collect()
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == slow_leaks(read("documents", "doc_id"), read("benchmark", "item_id"))
+
+
+def test_a_passage_that_repeats_is_one_find(spark):
+    item = [f"v{i}" for i in range(40)]
+    docs = [(1, " ".join(["a"] + item * 30)), (2, " ".join(item[:20] + ["x"] + item[20:]))]
+    bench = [(9, " ".join(item))]
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == slow_leaks(docs, bench) == {(1, 9): 1.0}
+    assert got[0].start == 1  # the first of equal ones
