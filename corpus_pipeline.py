@@ -14,9 +14,8 @@ from barforge.llm import decontaminate, mixing, quality, secrets, simhash
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels not held out, does not reject."""
-    stats = stored(docs.select("doc_id", quality.text_statistics(F.col("text")).alias("stats")), "statistics")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.held_out())
-    model = quality.fit_quality(stats, labels)
+    model = quality.fit_texts(docs, labels)
     return docs.where(model.score_text(F.col("text")) >= 0.5)
 
 
