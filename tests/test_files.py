@@ -147,3 +147,10 @@ def test_stored_table_prunes_by_split(spark):
     assert kept.where("split = 'test'").count() == 3 and kept.count() == 10
     plan = kept.where("split = 'test'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_audit_reads_the_lines_once(spark, folder, monkeypatch):
+    names = []
+    monkeypatch.setattr(audit, "stored", lambda df, name: names.append(name) or stored(df, name))
+    plan = audit.file_audit(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert names == ["found"] and "Relation [value" not in plan and " text" not in plan
