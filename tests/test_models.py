@@ -149,3 +149,17 @@ def test_single_feature_line(spark):
     pdf = df.toPandas()
     slope, intercept = np.polyfit(pdf["x"], pdf["label"], 1)
     assert (row.slope, row.intercept) == (pytest.approx(slope), pytest.approx(intercept))
+
+
+def test_narrow_vectors_are_dealt_to_tasks_by_rows(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "train").otherwise("test").alias("split"), F.lit(1.0).alias("x"))
+    stored = df.coalesce(1)
+    assert models.dealt(stored, 4000).rdd.getNumPartitions() == 1
+    spread = models.dealt(stored, 500)
+    sizes = spread.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) <= 600 and spread.count() == 4000
+
+
+def test_fits_that_copy_their_rows_run_side_by_side_while_they_fit(spark):
+    train = spark.range(1000)
+    assert [models.side_by_side(4, train, most) for most in (10_000, 2500, 1000, 1)] == [4, 2, 1, 1]
