@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barforge.functions.history import lookup
 from barforge.functions.storage import stored
 from barforge.sources.files import (
-    coerce_numeric, file_name_of, file_path, parse_dates, text_rows,
+    coerce_numeric, file_name_of, file_path, listing_tasks, parse_dates, text_rows,
 )
 
 
@@ -17,7 +17,8 @@ def file_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     alphabetically first file with data. ``unreadable``: a line with more fields
     than the header. ``ok``: the rest.
     """
-    lines = spark.read.text(f"{data_dir}/*.txt")
+    with listing_tasks(spark):
+        lines = spark.read.text(f"{data_dir}/*.txt")
     # No scan has rows of files without bytes; their names come from the listing that the
     # scan's planning has made on the driver. It holds one path per file, that is, per
     # symbol or part of a symbol, and no content: this is its bound.

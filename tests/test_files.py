@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from barforge.plans import exploration
 from barforge.sources import audit, files, results
 from barforge.functions.storage import scratch_path, stored
+from registry import queries
 from tests.bars import frame, random_bars, rows
 
 HEADER = "Date,Open,High,Low,Close,Volume,OpenInt"
@@ -154,3 +155,41 @@ def test_audit_reads_the_lines_once(spark, folder, monkeypatch):
     monkeypatch.setattr(audit, "stored", lambda df, name: names.append(name) or stored(df, name))
     plan = audit.file_audit(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert names == ["found"] and "Relation [value" not in plan and " text" not in plan
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    files.write_symbol_files(frame(spark, random_bars({f"s{i}": 2 for i in range(40)})), f"{tmp_path}/out")
+    context, before = spark.sparkContext, spark.conf.get(files.LISTING)
+    for i, load in enumerate((files.load_stock_data, files.text_rows, audit.file_audit)):
+        context.setJobGroup(f"listing {i}", "")
+        load(spark, f"{tmp_path}/out")
+        tracker = context.statusTracker()
+        first = min(tracker.getJobIdsForGroup(f"listing {i}"))
+        tasks = sum(tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(first).stageIds)
+        assert tasks <= 4 * context.defaultParallelism < 40
+    context.setJobGroup("", "")
+    assert spark.conf.get(files.LISTING) == before
+
+
+def test_names_are_decoded_only_where_they_are_encoded(spark):
+    paths = ["file:/x/a%20b/file=c+d%2525.us.txt/part-0.csv", "file:/x/a%20b.us.txt", "file:/x/c+d.us.txt",
+             "file:/x/y.txt/z.us.txt", "file:/x/y.us.txt/part.csv/more", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(files.file_path("p").alias("p"))
+    got = df.select("p", files.file_name_of(F.col("p")), files.symbol_of(F.col("p"))).collect()
+    assert [tuple(r) for r in got] == [
+        ("file:/x/a b/file=c+d%.us.txt/part-0.csv", "c+d%.us.txt", "c+d%"), ("file:/x/a b.us.txt", "a b.us.txt", "a b"),
+        ("file:/x/c+d.us.txt", "c+d.us.txt", "c+d"), ("file:/x/y.txt/z.us.txt", "y.txt", "z"),
+        ("file:/x/y.us.txt/part.csv/more", "", ""), (None, None, None)]
+
+
+def test_the_audited_folder_reads_its_lines_once(spark, tmp_path, monkeypatch):
+    spark.sql("""SELECT id AS l_orderkey, id % 3 AS l_suppkey, id AS l_partkey, 1 AS l_linenumber, 2.0D AS l_quantity,
+        3.0D AS l_extendedprice, date'2020-01-01' AS l_shipdate FROM range(9)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS s_suppkey, id - 1.0D AS s_acctbal FROM range(3)").write.parquet(f"{tmp_path}/supplier.parquet")
+    names = []
+    monkeypatch.setattr(queries, "stored", lambda df, name: names.append(name) or stored(df, name))
+    folder = queries.audited_folder(spark, str(tmp_path))
+    assert names == ["audited-bars"]
+    got = {r.file: r.status for r in audit.file_audit(spark, folder).collect()}
+    assert got == {"0.us.txt": "incoherent", "1.us.txt": "ok", "2.us.txt": "ok"} or got == {
+        "0.us.txt": "ok", "1.us.txt": "incoherent", "2.us.txt": "incoherent"}
