@@ -7,7 +7,9 @@ from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import functions as F
 
 from barforge import constants as K
+from barforge.functions.storage import stored
 from barforge.operators import evaluate, models, prepare, split
+from barforge.functions.storage import stored
 from tests.bars import frame, random_bars
 
 FEATURES = ["ret_1", "ret_5", "vol_10", "DateDaySin"]
@@ -163,3 +165,11 @@ def test_narrow_vectors_are_dealt_to_tasks_by_rows(spark):
 def test_fits_that_copy_their_rows_run_side_by_side_while_they_fit(spark):
     train = spark.range(1000)
     assert [models.side_by_side(4, train, most) for most in (10_000, 2500, 1000, 1)] == [4, 2, 1, 1]
+
+
+def test_single_feature_line_reads_its_rows_once(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(models, "stored", lambda df, name: names.append((name, df.columns)) or stored(df, name))
+    df = spark.range(20).selectExpr("id * 1D AS x", "id * 2D + 1 AS label", "id AS other")
+    row = models.single_feature_line(df, "x").first()
+    assert names == [("line", ["x", "label"])] and row.slope == pytest.approx(2)
