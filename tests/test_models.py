@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from barforge import constants as K
 from barforge.functions.storage import stored
 from barforge.operators import evaluate, models, prepare, split
-from barforge.functions.storage import stored
 from tests.bars import frame, random_bars
 
 FEATURES = ["ret_1", "ret_5", "vol_10", "DateDaySin"]
