@@ -172,3 +172,68 @@ def test_single_feature_line_reads_its_rows_once(spark, monkeypatch):
     df = spark.range(20).selectExpr("id * 1D AS x", "id * 2D + 1 AS label", "id AS other")
     row = models.single_feature_line(df, "x").first()
     assert names == [("line", ["x", "label"])] and row.slope == pytest.approx(2)
+
+
+def _plain_rows(spark, n=400):
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(1000, 3, n), rng.normal(0, .01, n)
+    pdf = pd.DataFrame({"a": a, "b": b, "c": 5.0, "d": 2 * a, "label": .3 * a - 40 * b + rng.normal(0, 1, n)})
+    pdf["split"], pdf["fold"] = np.where(np.arange(n) % 5 < 3, "train", np.where(np.arange(n) % 5 == 3, "validation", "test")), np.arange(n) % 3
+    return spark.createDataFrame(pdf).withColumn("fold", F.col("fold").cast("int")).repartition(5)
+
+
+def test_moments_of_parts_are_those_of_all_rows(spark):
+    df = _plain_rows(spark)
+    columns = ["a", "b", "c", "label"]
+    told = models.moments(df, F.array(*columns), ["split", "fold"])
+    whole, pdf = models.merged(told.values()), df.toPandas()
+    assert len(told) == 9 and whole.n == 400
+    np.testing.assert_allclose(whole.mean, pdf[columns].mean(), rtol=1e-13)
+    np.testing.assert_allclose(whole.products / 399, pdf[columns].cov(), rtol=1e-9, atol=1e-12)
+    assert whole.deviations()[2] == 0 and models.moments(df.limit(0), F.array("a")) == {}
+
+
+@pytest.mark.parametrize("estimator, points", [
+    (lambda: LinearRegression(maxIter=100), {"regParam": [0.01, 0.5], "elasticNetParam": [0.5, 1.0]}),
+    (lambda: GeneralizedLinearRegression(family="gaussian", link="identity"), {"regParam": [0.005, 2.0], "maxIter": [50]})])
+def test_fits_on_moments_equal_fits_on_rows(spark, estimator, points):
+    df, estimator = _plain_rows(spark), estimator()
+    names = ["a", "b", "c", "d"]
+    table = models.training_table(df, names, scale=True)
+    train = table.where("split = 'train'").select("label", "features")
+    points = models.grid_points(points)
+    slow = models.fit_models(estimator, points, train)
+    search = models.grid_search("m", estimator, {k: sorted({p[k] for p in points}) for k in points[0]},
+                                models.scaled_frame(df, names), classification=False)
+    fast = models.fit_models(estimator, points, models.scaled_frame(df, names).train_rows())
+    for one, other in zip(slow, fast):
+        np.testing.assert_allclose(one.coefficients.toArray(), other.coefficients.toArray(), rtol=1e-6, atol=1e-9)
+        assert one.intercept == pytest.approx(other.intercept, rel=1e-9)
+    want = models.regression_scores(table.where("split <> 'train'"))(slow)
+    got = [r.asDict() for r in search.results.orderBy("grid_index").collect()]
+    assert [{k: g[k] for k in w} for g, w in zip(got, want)] == [pytest.approx(w, rel=1e-8) for w in want]
+
+
+def test_fits_of_a_grid_read_their_rows_once(spark, monkeypatch):
+    seen = []
+    real = models.moments
+    monkeypatch.setattr(models, "moments", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    fitted = []
+    fit = GeneralizedLinearRegression.fit
+    monkeypatch.setattr(GeneralizedLinearRegression, "fit", lambda self, df: fitted.append(df.count()) or fit(self, df))
+    df = _plain_rows(spark)
+    models.glr_grid(models.scaled_frame(df, ["a", "b"]), {"regParam": [.1, .2, .3], "maxIter": [50]}, parallel=1)
+    assert seen == [240] and fitted == [6, 6, 6]
+    models.glr_cv(df, ["a", "b"], {"regParam": [.1], "maxIter": [50, 100]}, parallel=1)
+    assert seen == [240, 240] and fitted[3:] == [6] * 8
+
+
+def test_other_fits_and_flawed_rows_are_not_fitted_by_moments(spark):
+    assert not models.fits_by_moments(LinearRegression(solver="l-bfgs"), 2)
+    assert not models.fits_by_moments(LinearRegression(loss="huber"), 2)
+    assert not models.fits_by_moments(GeneralizedLinearRegression(family="poisson"), 2)
+    assert not models.fits_by_moments(LinearRegression(), models.MAX_MOMENT_COLUMNS + 1)
+    assert models.fits_by_moments(LinearRegression(), 2) and models.fits_by_moments(GeneralizedLinearRegression(), 2)
+    df = _plain_rows(spark).withColumn("label", F.when(F.col("b") > 0, F.lit(float("nan"))).otherwise(F.col("label")))
+    with pytest.raises(ValueError, match="finite"):
+        models.linear_regression_grid(models.scaled_frame(df, ["a", "b"]))
