@@ -1,0 +1,71 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from barforge.operators import logistic, models
+
+NAMES = ["a", "b", "c", "d"]
+GRID = {"regParam": [0.0, 0.01, 0.3], "elasticNetParam": [0.0, 0.5, 1.0]}
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = np.random.default_rng(7)
+    n = 900
+    a, b = rng.normal(1000, 30, n), rng.normal(0, .01, n)
+    pdf = pd.DataFrame({"a": a, "b": b, "c": 5.0, "d": a + rng.normal(0, 3, n)})
+    chance = 1 / (1 + np.exp(-(a - 1000) / 10 + 150 * b - .4))
+    pdf["label"] = (rng.random(n) < chance).astype(float)
+    pdf["split"] = np.where(np.arange(n) % 5 < 3, "train", np.where(np.arange(n) % 5 == 3, "validation", "test"))
+    return spark.createDataFrame(pdf).repartition(5).cache()
+
+
+def test_lines_of_a_grid_equal_fits_of_their_own(rows):
+    points = models.grid_points(GRID)
+    estimator = LogisticRegression(maxIter=100)
+    shared = models.scaled_frame(rows, NAMES).logistic_models(estimator, points)
+    train = models.training_table(rows, NAMES, scale=True).where("split = 'train'").select("label", "features")
+    alone = models.fit_models(LogisticRegression(maxIter=1000, tol=1e-14), points, train)
+    for one, other in zip(shared, alone):
+        np.testing.assert_allclose(one.coefficients.toArray(), other.coefficients.toArray(), rtol=2e-4, atol=2e-5)
+        assert one.intercept == pytest.approx(other.intercept, rel=1e-4, abs=1e-5)
+        assert (one.coefficients.toArray() == 0).tolist() == (other.coefficients.toArray() == 0).tolist()
+        assert one.getRegParam() == other.getRegParam() and not one.hasSummary
+
+
+def test_a_large_grid_is_fitted_in_few_passes_of_all_rows(rows, monkeypatch):
+    monkeypatch.setattr(models, "MAX_LOGISTIC_ROWS", 100)
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: pytest.fail("a fit of its own"))
+    passes, real = [], logistic.sums
+    monkeypatch.setattr(logistic, "sums", lambda df, *a: passes.append(df.count()) or real(df, *a))
+    grid = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]}
+    search = models.logistic_grid(models.scaled_frame(rows, NAMES), grid)
+    assert len(passes) <= 12 and set(passes) == {540}
+    got = [r.asDict() for r in search.results.orderBy("grid_index").collect()]
+    monkeypatch.undo()
+    want = models.logistic_grid(models.training_table(rows, NAMES, scale=True), grid).results.orderBy("grid_index").collect()
+    assert got == [pytest.approx(r.asDict(), abs=.006) for r in want] and len(got) == 6
+    assert search.best_model.transform(models.scaled_frame(rows, NAMES).vectors(F.lit(True))).count() == 900
+
+
+def test_small_grids_odd_labels_and_other_fits_are_left_to_mllib(rows, monkeypatch):
+    frame, plain = models.scaled_frame(rows, NAMES), LogisticRegression()
+    assert not frame.shares_passes(plain)
+    monkeypatch.setattr(models, "MAX_LOGISTIC_ROWS", 100)
+    assert frame.shares_passes(plain)
+    assert not models.scaled_frame(rows.withColumn("label", F.lit(1.0)), NAMES).shares_passes(plain)
+    for other in (LogisticRegression(family="multinomial"), LogisticRegression(fitIntercept=False), LogisticRegression(weightCol="a")):
+        assert not frame.shares_passes(other)
+    assert not logistic.fits_by_sums(plain, logistic.MAX_COLUMNS + 1)
+    with pytest.raises(ValueError, match="0 or 1"):
+        logistic.line_sums(np.zeros((1, 1)), np.array([2.0]), np.zeros((1, 2)))
+
+
+def test_steps_that_do_not_help_are_halved():
+    # Far apart sides of one feature: a whole Newton step from a bad beginning overshoots.
+    x, y = np.array([[-1.0], [1.0], [1.2], [-1.1]]) * 8, np.array([0.0, 1.0, 1.0, 0.0])
+    line = logistic.fit_lines(lambda lines: logistic.line_sums(x, y, lines), [(0.001, 0.0)], 1, 4.0, 100)[0]
+    n, _, slope, _ = logistic.line_sums(x, y, line[None])
+    np.testing.assert_allclose(slope[0] / n + [.001 * line[0], 0], 0, atol=1e-9)
